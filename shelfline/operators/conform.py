@@ -29,8 +29,7 @@ def discover_keys(records: DataFrame, record_col: str = "record") -> list[str]:
     schema's worth of rows) reach the driver.
     """
     top = F.from_json(F.col(record_col), _TEXT_MAP)
-    pairs = records.select(F.col("_ord") if "_ord" in records.columns else F.lit(0).alias("_ord"),
-                           F.posexplode(top).alias("pos", "k", "v"))
+    pairs = records.select(F.lit(0).alias("_ord"), F.posexplode(top).alias("pos", "k", "v"))
     sub = F.from_json(F.col("v"), _TEXT_MAP)
     names = pairs.select(
         "_ord", "pos",

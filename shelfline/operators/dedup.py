@@ -35,8 +35,11 @@ def duplicate_count(df: DataFrame, keys: list[str]) -> DataFrame:
 
 def key_violations(df: DataFrame, keys: list[str]) -> DataFrame:
     """Keys that occur more than once (or are null), with their multiplicity."""
+    any_null = F.lit(False)
+    for k in keys:
+        any_null = any_null | F.col(k).isNull()
     return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-            .where((F.col("n") > 1) | F.greatest(*[F.col(k).isNull() for k in keys])))
+            .where((F.col("n") > 1) | any_null))
 
 
 def assert_unique_keys(df: DataFrame, keys: list[str], what: str = "source") -> None:

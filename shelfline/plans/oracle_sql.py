@@ -123,7 +123,7 @@ SELECT CAST(product_id AS BIGINT) AS product_id, product_name, description, cate
        CAST(discounted_price AS DECIMAL(14,2)) AS discounted_price,
        CAST(rating AS DECIMAL(4,2)) AS rating, CAST(round(stock) AS INTEGER) AS stock,
        availability, {_src('products', day)} AS source_key, load_date
-FROM ({products_silver(day)}) p"""
+FROM ({valid('products', day)}) p"""
 
 
 def customers_history(day=None) -> str:
@@ -131,7 +131,7 @@ def customers_history(day=None) -> str:
 SELECT CAST(customer_id AS BIGINT) AS customer_id, first_name, last_name, full_name, email,
        CAST(round(age) AS INTEGER) AS age, age_band, gender, birth_date, city, state,
        state_code, country, {_src('customers', day)} AS source_key, load_date
-FROM ({customers_silver(day)}) c"""
+FROM ({valid('customers', day)}) c"""
 
 
 def sales_history(day=None) -> str:
@@ -144,7 +144,7 @@ SELECT CAST(cart_id AS BIGINT) AS cart_id, CAST(customer_id AS BIGINT) AS custom
        CAST(discount_amount AS DECIMAL(14,2)) AS discount_amount,
        CAST(net_amount AS DECIMAL(14,2)) AS net_amount, sale_date,
        {_src('sales', day)} AS source_key, load_date
-FROM ({sales_silver(day)}) s"""
+FROM ({valid('sales', day)}) s"""
 
 
 def stock_history(day=None) -> str:
@@ -152,7 +152,7 @@ def stock_history(day=None) -> str:
 SELECT CAST(product_id AS BIGINT) AS product_id, reference_date,
        CAST(round(quantity) AS INTEGER) AS quantity, CAST(price AS DECIMAL(14,2)) AS price,
        availability, {_src('stock', day)} AS source_key, load_date
-FROM ({stock_silver(day)}) s"""
+FROM ({valid('stock', day)}) s"""
 
 
 HISTORY = {"products": products_history, "customers": customers_history,
@@ -171,3 +171,27 @@ SELECT v.cart_id, v.product_id, v.sale_date, coalesce(p.product_name, v.product_
 FROM ({sales}) v
 LEFT JOIN ({products}) p ON p.product_id = v.product_id AND p.load_date = v.load_date
 LEFT JOIN ({customers}) c ON c.customer_id = v.customer_id AND c.load_date = v.load_date"""
+
+
+# ── validity (the rules of shelfline.operators.quality) ─────────────────────
+VALID = {
+    "products": "product_id IS NOT NULL AND product_name IS NOT NULL AND category IS NOT NULL "
+                "AND price IS NOT NULL AND NOT coalesce(price < 0, FALSE)",
+    "customers": "customer_id IS NOT NULL AND first_name IS NOT NULL AND email IS NOT NULL "
+                 "AND contains(coalesce(email, ''), '@')",
+    "sales": "cart_id IS NOT NULL AND customer_id IS NOT NULL AND product_id IS NOT NULL "
+             "AND quantity IS NOT NULL AND price IS NOT NULL "
+             "AND NOT coalesce(quantity <= 0 OR price < 0, FALSE)",
+    "stock": "product_id IS NOT NULL AND reference_date IS NOT NULL AND quantity IS NOT NULL "
+             "AND NOT coalesce(quantity < 0, FALSE)",
+}
+SILVER = {"products": products_silver, "customers": customers_silver,
+          "sales": sales_silver, "stock": stock_silver}
+
+
+def valid(entity, day=None) -> str:
+    return f"SELECT * FROM ({SILVER[entity](day)}) x WHERE {VALID[entity]}"
+
+
+def rejects(entity, day=None) -> str:
+    return f"SELECT * FROM ({SILVER[entity](day)}) x WHERE NOT ({VALID[entity]})"

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfline import config, schemas
+from shelfline.operators import quality
 from shelfline.operators.carts import enrich_sales
 from shelfline.operators.conform import align_to_schema
 from shelfline.operators.dedup import keep_last
@@ -51,10 +52,19 @@ def silver(spark: SparkSession, sf_dir: str, entity: str, day: int | None = None
     raise KeyError(entity)
 
 
+def valid(spark: SparkSession, sf_dir: str, entity: str, day: int | None = None) -> DataFrame:
+    """Rows of the entity that pass its rules (the validated silver stage)."""
+    return silver(spark, sf_dir, entity, day).where(~quality.invalid_flag(entity))
+
+
+def rejects(spark: SparkSession, sf_dir: str, entity: str, day: int | None = None) -> DataFrame:
+    return silver(spark, sf_dir, entity, day).where(quality.invalid_flag(entity))
+
+
 def history_frame(spark: SparkSession, sf_dir: str, entity: str,
                   day: int | None = None) -> DataFrame:
     """The rows a day load would put into the entity's history table."""
-    df = silver(spark, sf_dir, entity, day)
+    df = valid(spark, sf_dir, entity, day)
     return align_to_schema(df, schemas.HISTORY[entity],
                            defaults={"source_key": source_key(entity, day)},
                            what=f"history.{entity}")
