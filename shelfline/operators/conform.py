@@ -14,11 +14,16 @@ from shelfline.functions import (as_text, lenient_date, lenient_double, lenient_
 
 log = logging.getLogger(__name__)
 
-_TEXT_MAP = "map<string,string>"
+_VARIANT_MAP = "map<string,variant>"
 
 
-def _is_object(c: Column) -> Column:
-    return F.ltrim(c).startswith("{")
+def _is_object(v: Column) -> Column:
+    """A variant holds a JSON object (a string that merely starts with '{' does not)."""
+    return F.to_json(v).startswith("{")
+
+
+def _path(key: str) -> str:
+    return "$['" + key.replace("'", "\\'") + "']"
 
 
 def discover_keys(records: DataFrame, record_col: str = "record") -> list[str]:
@@ -28,19 +33,19 @@ def discover_keys(records: DataFrame, record_col: str = "record") -> list[str]:
     scan is an aggregate with partial combining, so only the distinct names (a
     schema's worth of rows) reach the driver.
     """
-    top = F.from_json(F.col(record_col), _TEXT_MAP)
-    pairs = records.select(F.lit(0).alias("_ord"), F.posexplode(top).alias("pos", "k", "v"))
-    sub = F.from_json(F.col("v"), _TEXT_MAP)
+    top = F.from_json(F.col(record_col), _VARIANT_MAP)
+    pairs = records.select(F.posexplode(top).alias("pos", "k", "v"))
+    sub = F.from_json(F.to_json(F.col("v")), _VARIANT_MAP)
     names = pairs.select(
-        "_ord", "pos",
+        "pos",
         F.when(_is_object(F.col("v")),
                F.transform(F.map_keys(sub), lambda s: F.concat(F.col("k"), F.lit("."), s)))
          .otherwise(F.array(F.col("k"))).alias("names"))
-    flat = names.select("_ord", "pos", F.posexplode("names").alias("sub_pos", "name"))
+    flat = names.select("pos", F.posexplode("names").alias("sub_pos", "name"))
     rows = (flat.groupBy("name")
-            .agg(F.min(F.struct("_ord", "pos", "sub_pos")).alias("first"))
+            .agg(F.min(F.struct("pos", "sub_pos")).alias("first"))
             .collect())
-    rows.sort(key=lambda r: (r["first"]["_ord"], r["first"]["pos"], r["first"]["sub_pos"]))
+    rows.sort(key=lambda r: (r["first"]["pos"], r["first"]["sub_pos"], r["name"]))
     return [r["name"] for r in rows]
 
 
@@ -48,25 +53,24 @@ def flatten_one_level(records: DataFrame, names: list[str] | None = None,
                       record_col: str = "record") -> DataFrame:
     """JSON record text -> one text column per key; objects one level deep (3.1, 3.2).
 
-    Nested values deeper than one level, and arrays, stay as JSON text.  Other
-    columns of ``records`` are kept.
+    Records are parsed once into a map of variants.  Scalars become their text
+    form, objects nested deeper than one level and arrays stay JSON text, JSON
+    null becomes null.  Other columns of ``records`` are kept.
     """
     if names is None:
         names = discover_keys(records, record_col)
-    top = F.from_json(F.col(record_col), _TEXT_MAP)
+    top = F.from_json(F.col(record_col), _VARIANT_MAP)
     keep = [c for c in records.columns if c != record_col]
-    parents = sorted({n.split(".", 1)[0] for n in names if "." in n})
     staged = records.select(*keep, top.alias("_m"))
-    staged = staged.select(*keep, "_m", *[
-        F.from_json(F.when(_is_object(F.col("_m")[p]), F.col("_m")[p]), _TEXT_MAP).alias(f"_p_{i}")
-        for i, p in enumerate(parents)])
+    parents = {n.split(".", 1)[0] for n in names if "." in n}
     cols = []
     for n in names:
-        if "." in n and n.split(".", 1)[0] in parents:
+        if "." in n and n.split(".", 1)[0] in parents and n not in parents:
             p, child = n.split(".", 1)
-            cols.append(F.col(f"_p_{parents.index(p)}")[child].alias(n))
+            v = F.col("_m")[p]
+            cols.append(F.when(_is_object(v), F.try_variant_get(v, _path(child), "string")).alias(n))
         else:
-            cols.append(F.col("_m")[n].alias(n))
+            cols.append(F.try_variant_get(F.col("_m")[n], "$", "string").alias(n))
     return staged.select(*keep, *cols)
 
 
