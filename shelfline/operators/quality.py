@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from shelfline import config
@@ -102,27 +103,33 @@ def split(tagged: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def validate(df: DataFrame, entity: str, limit: float | None = None,
-             write_rejects=None, write_valid=None) -> tuple[DataFrame, GateResult]:
-    """Tag once, count once, write rejects, gate, then write the valid rows.
+             write_rejects=None, write_valid=None) -> tuple[DataFrame | None, GateResult]:
+    """Tag once, count while writing the rejects, gate, then write the valid rows.
 
     ``write_rejects(df)`` always runs (an empty frame replaces stale rejects of a
-    rerun); ``write_valid(df)`` runs only when the gate passes.  The tagged
-    frame is persisted so the three uses read the source once.
+    rerun) and its job also collects the gate counts through an observation;
+    ``write_valid(df)`` runs only when the gate passes.  The tagged frame is
+    persisted so the source is read once for both writes.
     """
     limit = config.reject_limit() if limit is None else limit
     tagged = tag(df, entity).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        row = gate_stats(tagged).first()
-        result = GateResult(entity, int(row["n_total"]), int(row["n_rejected"]),
-                            float(row["reject_rate"]), limit)
-        valid, rejects = split(tagged)
         if write_rejects is not None:
-            write_rejects(rejects)
+            obs = Observation(f"gate_{entity}_{uuid.uuid4().hex[:8]}")
+            observed = tagged.observe(obs, F.count(F.lit(1)).alias("n_total"),
+                                      F.count_if(F.col(INVALID)).alias("n_rejected"))
+            write_rejects(observed.where(F.col(INVALID)).drop(INVALID))
+            n_total, n_bad = int(obs.get["n_total"]), int(obs.get["n_rejected"])
+        else:
+            row = gate_stats(tagged).first()
+            n_total, n_bad = int(row["n_total"]), int(row["n_rejected"])
+        result = GateResult(entity, n_total, n_bad, n_bad / max(n_total, 1), limit)
         check_gate(result)
+        valid, _ = split(tagged)
         if write_valid is not None:
             write_valid(valid)
-            valid = None
+            return None, result
         return valid, result
     finally:
-        if write_valid is not None:
+        if write_valid is not None or write_rejects is not None:
             tagged.unpersist()

@@ -18,7 +18,10 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -99,6 +102,16 @@ def land_json(df: DataFrame, root: str, ds: str) -> str:
     return path
 
 
+def counted(df: DataFrame, **metrics) -> tuple[DataFrame, Observation]:
+    """Attach row metrics that are collected by the job that writes ``df``.
+
+    Saves the separate ``count()`` job a read-back would cost.
+    """
+    obs = Observation(f"m_{uuid.uuid4().hex[:8]}")
+    exprs = [F.count(F.lit(1)).alias("n_rows")] + [c.alias(k) for k, c in metrics.items()]
+    return df.observe(obs, *exprs), obs
+
+
 def write_day(df: DataFrame, root: str, ds: str, fmt: str = "parquet") -> str:
     """Stage/entity/day sink (2.2, 2.3): ``<root>/dt=<ds>``, overwritten on rerun."""
     path = partition_dir(root, ds)
@@ -106,19 +119,45 @@ def write_day(df: DataFrame, root: str, ds: str, fmt: str = "parquet") -> str:
     return path
 
 
+def write_day_counted(df: DataFrame, root: str, ds: str, fmt: str = "parquet") -> tuple[str, int]:
+    observed, obs = counted(df)
+    path = write_day(observed, root, ds, fmt)
+    return path, int(obs.get["n_rows"])
+
+
 def overwrite_partition(spark: SparkSession, df: DataFrame, root: str, ds: str,
-                        col: str = "load_date") -> None:
-    """Replace one partition of a partitioned table, atomically per partition.
+                        col: str = "load_date") -> int:
+    """Replace one partition of a partitioned table; returns the rows written.
 
     Dynamic partition overwrite replaces exactly the partitions present in
-    ``df``; an empty frame would leave the old day in place, so that case
-    deletes the partition directory explicitly.
+    ``df`` and commits them by rename at job end.  An empty frame writes no
+    partition and would leave the old day in place, so that case deletes the
+    partition directory explicitly.
     """
-    if df.isEmpty():
+    observed, obs = counted(df)
+    (observed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .partitionBy(col).parquet(root))
+    n = int(obs.get["n_rows"])
+    if n == 0:
         delete(spark, partition_dir(root, ds, col))
-        return
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    return n
+
+
+def replace_partitions(spark: SparkSession, rows: DataFrame, root: str, col: str,
+                       staging: str) -> int:
+    """Overwrite the partitions present in ``rows`` (which may be derived from ``root``).
+
+    Spark refuses to overwrite a path the same job reads, so the new partition
+    contents are first written to ``staging`` (shared storage), then moved in
+    with dynamic partition overwrite.  A failure between the two steps leaves
+    the staged copy, and rerunning the upsert rebuilds it from the same inputs.
+    """
+    rows.write.mode("overwrite").partitionBy(col).parquet(staging)
+    staged, obs = counted(spark.read.parquet(staging))
+    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy(col).parquet(root))
+    delete(spark, staging)
+    return int(obs.get["n_rows"])
 
 
 # ── versioned snapshots for upserted tables ─────────────────────────────────
@@ -143,15 +182,17 @@ def read_snapshot(spark: SparkSession, root: str, schema: T.StructType) -> DataF
 
 
 def write_snapshot(spark: SparkSession, df: DataFrame, root: str) -> int:
-    """Write the next version; readers switch when its ``_SUCCESS`` marker lands.
+    """Write the next version; returns its row count (observed during the write).
 
-    Parquet has no MERGE, so an upsert writes the new state as a new version
-    and the previous one stays readable until then (the write is the commit).
+    Parquet has no MERGE, so an upsert writes the new state as a new version;
+    readers switch when its ``_SUCCESS`` marker lands and the previous version
+    stays readable until then (the write is the commit).
     """
     versions = committed_versions(spark, root)
     nxt = (versions[-1] + 1) if versions else 1
-    df.write.mode("overwrite").parquet(f"{root.rstrip('/')}/v={nxt:06d}")
-    return nxt
+    observed, obs = counted(df)
+    observed.write.mode("overwrite").parquet(f"{root.rstrip('/')}/v={nxt:06d}")
+    return int(obs.get["n_rows"])
 
 
 def append(df: DataFrame, root: str) -> None:
