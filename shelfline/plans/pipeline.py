@@ -199,8 +199,10 @@ def build_dimension(spark: SparkSession, lk: L.Lake, name: str, ds: str) -> int:
         schema, keys, sk = DIM_SPECS[name]
         values = [f.name for f in schema.fields if f.name not in keys and f.name != sk]
         src = dimension_source(spark, lk, name, ds)
+        # category and brand sources are group-by outputs: unique by construction
         new_state = conform.align_to_schema(
-            upsert.scd1_upsert(current, src, keys, sk, values), schema)
+            upsert.scd1_upsert(current, src, keys, sk, values,
+                               check_unique=name in ("product", "customer")), schema)
     return L.write_snapshot(spark, new_state, root)
 
 

@@ -152,7 +152,9 @@ def replace_partitions(spark: SparkSession, rows: DataFrame, root: str, col: str
     with dynamic partition overwrite.  A failure between the two steps leaves
     the staged copy, and rerunning the upsert rebuilds it from the same inputs.
     """
-    rows.write.mode("overwrite").partitionBy(col).parquet(staging)
+    # one writer per partition value: without this every task writes a small
+    # file into every partition it holds a row of
+    rows.repartition(col).write.mode("overwrite").partitionBy(col).parquet(staging)
     staged, obs = counted(spark.read.parquet(staging))
     (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy(col).parquet(root))
