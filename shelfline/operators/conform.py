@@ -17,9 +17,9 @@ log = logging.getLogger(__name__)
 _VARIANT_MAP = "map<string,variant>"
 
 
-def _is_object(v: Column) -> Column:
-    """A variant holds a JSON object (a string that merely starts with '{' does not)."""
-    return F.to_json(v).startswith("{")
+def _as_object(v: Column) -> Column:
+    """The variant as a map when it holds a JSON object, else null (a type check, no rendering)."""
+    return F.try_variant_get(v, "$", _VARIANT_MAP)
 
 
 def _path(key: str) -> str:
@@ -35,10 +35,10 @@ def discover_keys(records: DataFrame, record_col: str = "record") -> list[str]:
     """
     top = F.from_json(F.col(record_col), _VARIANT_MAP)
     pairs = records.select(F.posexplode(top).alias("pos", "k", "v"))
-    sub = F.from_json(F.to_json(F.col("v")), _VARIANT_MAP)
+    sub = _as_object(F.col("v"))
     names = pairs.select(
         "pos",
-        F.when(_is_object(F.col("v")),
+        F.when(sub.isNotNull(),
                F.transform(F.map_keys(sub), lambda s: F.concat(F.col("k"), F.lit("."), s)))
          .otherwise(F.array(F.col("k"))).alias("names"))
     flat = names.select("pos", F.posexplode("names").alias("sub_pos", "name"))
@@ -55,7 +55,8 @@ def flatten_one_level(records: DataFrame, names: list[str] | None = None,
 
     Records are parsed once into a map of variants.  Scalars become their text
     form, objects nested deeper than one level and arrays stay JSON text, JSON
-    null becomes null.  Other columns of ``records`` are kept.
+    null becomes null.  A child path on a value that is not an object (a string
+    that merely looks like one, an array) is null.  Other columns are kept.
     """
     if names is None:
         names = discover_keys(records, record_col)
@@ -67,8 +68,7 @@ def flatten_one_level(records: DataFrame, names: list[str] | None = None,
     for n in names:
         if "." in n and n.split(".", 1)[0] in parents and n not in parents:
             p, child = n.split(".", 1)
-            v = F.col("_m")[p]
-            cols.append(F.when(_is_object(v), F.try_variant_get(v, _path(child), "string")).alias(n))
+            cols.append(F.try_variant_get(F.col("_m")[p], _path(child), "string").alias(n))
         else:
             cols.append(F.try_variant_get(F.col("_m")[n], "$", "string").alias(n))
     return staged.select(*keep, *cols)

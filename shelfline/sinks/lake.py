@@ -144,7 +144,7 @@ def overwrite_partition(spark: SparkSession, df: DataFrame, root: str, ds: str,
 
 
 def replace_partitions(spark: SparkSession, rows: DataFrame, root: str, col: str,
-                       staging: str) -> int:
+                       staging: str, spread_by: list[str] | None = None) -> int:
     """Overwrite the partitions present in ``rows`` (which may be derived from ``root``).
 
     Spark refuses to overwrite a path the same job reads, so the new partition
@@ -152,9 +152,13 @@ def replace_partitions(spark: SparkSession, rows: DataFrame, root: str, col: str
     with dynamic partition overwrite.  A failure between the two steps leaves
     the staged copy, and rerunning the upsert rebuilds it from the same inputs.
     """
-    # one writer per partition value: without this every task writes a small
-    # file into every partition it holds a row of
-    rows.repartition(col).write.mode("overwrite").partitionBy(col).parquet(staging)
+    # Range-partition on (partition value, keys): each task holds a contiguous
+    # slice, so it writes into one or two partitions instead of a small file into
+    # every partition, and a partition holding a third of the rows is still
+    # spread over several writers.
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ordered = rows.repartitionByRange(n, col, *(spread_by or []))
+    ordered.write.mode("overwrite").partitionBy(col).parquet(staging)
     staged, obs = counted(spark.read.parquet(staging))
     (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy(col).parquet(root))
