@@ -61,11 +61,27 @@ def _order(*cols):
     return F.struct(*[F.col(c) for c in cols])
 
 
+_SOURCE_KEYS = {"products": ["id"], "customers": ["id"], "sales": ["id", "userId", "products"]}
+
+
+def _ensure_source_columns(b: DataFrame, entity: str) -> DataFrame:
+    """Key source fields must exist; on an empty day (no keys to discover) they are
+    added as nulls so the day yields empty typed tables instead of failing."""
+    missing = [c for c in _SOURCE_KEYS[entity] if c not in b.columns]
+    if not missing:
+        return b
+    if not b.isEmpty():
+        raise ValueError(f"{entity}: mandatory source fields missing {missing}")
+    for c in missing:
+        b = b.withColumn(c, F.lit(None).cast("string"))
+    return b
+
+
 def clean(spark: SparkSession, lk: L.Lake, bronze: dict[str, str], ds: str) -> dict[str, str]:
     out = {}
     for raw_entity, path in bronze.items():
         entity = RAW_ENTITIES[raw_entity]
-        b = spark.read.parquet(path)
+        b = _ensure_source_columns(spark.read.parquet(path), entity)
         if entity == "sales":
             keep = tuple(c for c in ("date", "_source_file", "_ord") if c in b.columns)
             df = carts.explode_cart_lines(b, keep=keep)
@@ -207,17 +223,26 @@ def build_dimension(spark: SparkSession, lk: L.Lake, name: str, ds: str) -> int:
 
 
 # ── 07 audit ─────────────────────────────────────────────────────────────────
-def audit_counts(spark: SparkSession, lk: L.Lake, ds: str) -> dict:
+def audit_counts(spark: SparkSession, lk: L.Lake, ds: str, fact_rows: int | None = None) -> dict:
+    """Rows per layer for the day (history partitions, fact rows of the day, dimensions).
+
+    The fact is partitioned by cart range, not by day; when this run's upsert
+    reported the day's batch size (``fact_rows``) that number is used, since the
+    batch is exactly the fact's rows of the day; otherwise the day is counted by
+    scanning the fact's ``load_date`` column.
+    """
     loaders = {f"history_{e}": (lambda e=e: history.read_day(spark, lk.history(e), e, ds)
                                 if L.exists(spark, lk.history(e)) else _missing(lk.history(e)))
                for e in config.ENTITIES}
-    # the fact is partitioned by cart range, not by day: counting the day there
-    # is a scan of one small column over the whole table
-    loaders["fact_sales"] = lambda: read_fact(spark, lk).select("load_date").where(
-        F.col("load_date") == F.lit(ds).cast("date"))
+    if fact_rows is None:
+        loaders["fact_sales"] = lambda: read_fact(spark, lk).select("load_date").where(
+            F.col("load_date") == F.lit(ds).cast("date"))
     loaders["dim_product"] = lambda: read_dimension(spark, lk, "product")
     loaders["dim_customer"] = lambda: read_dimension(spark, lk, "customer")
-    return audit.layer_counts(spark, loaders)
+    counts = audit.layer_counts(spark, loaders)
+    if fact_rows is not None:
+        counts["fact_sales"] = fact_rows
+    return counts
 
 
 def _missing(path):
@@ -225,7 +250,8 @@ def _missing(path):
 
 
 def record_run(spark: SparkSession, lk: L.Lake, ds: str, run_id: str, results: dict) -> str:
-    lineage = audit_counts(spark, lk, ds)
+    fact_rows = results.get("fact")
+    lineage = audit_counts(spark, lk, ds, fact_rows if isinstance(fact_rows, int) else None)
     status, failed = audit.run_status(results)
     L.append(audit.run_record(spark, PIPELINE, run_id, ds, results, lineage), lk.audit())
     log.info("audit %s failed=%s lineage=%s", status, failed, lineage)
@@ -239,6 +265,8 @@ def run_day(spark: SparkSession, lake_root: str, ds: str, records: dict[str, Dat
             raw_paths: dict[str, str] | None = None, run_id: str | None = None,
             limit: float | None = None, fact_bucket_width: int = FACT_BUCKET_WIDTH) -> dict:
     """Run one day end to end; the audit record is appended whatever happens."""
+    from shelfline.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
     lk = L.Lake(lake_root)
     run_id = run_id or f"run-{uuid.uuid4().hex[:8]}"
     ingested_at = _dt.datetime.now(_dt.timezone.utc).isoformat()

@@ -22,14 +22,32 @@ SESSION_CONF = {
 }
 
 
+# Settings for a large cluster (hundreds of executors, tens of TB per day):
+# many initial shuffle partitions that AQE coalesces to ~256 MB each, skewed
+# partitions split, input splits of 256 MB, and a broadcast limit that keeps a
+# broadcast side small enough to ship to every executor.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.files.maxRecordsPerFile": "20000000",
+}
+
+
 def get_session(master: str | None = None, shuffle_partitions: int = 8,
-                app_name: str = "shelfline") -> SparkSession:
+                app_name: str = "shelfline", cluster: bool = False) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in SESSION_CONF.items():
         builder = builder.config(k, v)
+    if cluster:
+        for k, v in CLUSTER_CONF.items():
+            builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)

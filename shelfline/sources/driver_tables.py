@@ -30,6 +30,8 @@ CART_DAY2_FROM = "1998-01-01"     # day 2 carts: orders from this date (overlap
 LINE_ORDER = ["l_linenumber", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
               "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
 
+CART_CHUNK = 1000                 # line numbers per cart document
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
           "conversations")
@@ -226,8 +228,11 @@ def cart_records(spark: SparkSession, sf_dir: str, day: int | None = None) -> Da
                  v["discount_pct"].alias("discountPercentage"),
                  v["net_amount"].alias("discountedTotal"),
                  F.lit("x").alias("thumbnail")).alias("i"))
+    # One cart document per order; an order with very many lines is split into
+    # documents of at most CART_CHUNK line numbers so no group is unbounded.
     carts = j.groupBy(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("userId"),
-                      F.col("o_orderdate").alias("_od")).agg(
+                      F.col("o_orderdate").alias("_od"),
+                      F.floor(F.col("l_linenumber") / CART_CHUNK).alias("_chunk")).agg(
         F.array_sort(F.collect_list(item)).alias("_items"))
     items = F.transform("_items", lambda x: x["i"])
     return carts.select(

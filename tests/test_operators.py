@@ -257,3 +257,12 @@ def test_audit_tolerates_missing_table(spark, tmp_lake):
         "missing": lambda: spark.read.parquet(os.path.join(tmp_lake, "nope"))})
     assert counts["ok"] == 3 and counts["missing"].startswith("error: ")
     assert audit.run_status({"a": 0, "b": None}) == ("failed", ["b"])
+
+
+def test_table_columns(spark, tmp_lake):
+    from shelfline.sources import lake_scan
+    p = os.path.join(tmp_lake, "t")
+    spark.range(3).write.parquet(p)
+    assert lake_scan.table_columns(spark, p) == ["id"]
+    with pytest.raises(RuntimeError, match="does not exist"):
+        lake_scan.table_columns(spark, os.path.join(tmp_lake, "missing"))

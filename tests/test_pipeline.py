@@ -63,3 +63,15 @@ def test_full_pipeline_twice_is_idempotent(spark, tmp_lake):
     # surrogate keys stay stable across the rerun
     dp = P.read_dimension(spark, lk, "product")
     assert dp.count() == 30 and dp.select("product_sk").distinct().count() == 30
+
+
+def test_day_without_carts(spark, tmp_lake):
+    """A day whose cart landing is empty loads products and customers and no sales."""
+    docs = fx.write_envelopes(tmp_lake)
+    raw = P.land_envelopes(spark, tmp_lake, {k: v for k, v in docs.items() if k != "carts"}, DS)
+    empty = L.partition_dir(L.Lake(tmp_lake).raw("carts"), DS)
+    spark.createDataFrame([], "record string").write.mode("overwrite").text(empty)
+    raw["carts"] = empty
+    res = P.run_day(spark, tmp_lake, DS, raw_paths=raw, run_id="empty-carts")
+    assert res["history_sales"] == 0 and res["history_products"] == 30
+    assert res["fact"] == 0
