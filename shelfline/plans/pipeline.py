@@ -12,6 +12,7 @@ import datetime as _dt
 import logging
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -77,7 +78,16 @@ def _ensure_source_columns(b: DataFrame, entity: str) -> DataFrame:
     return b
 
 
-def clean(spark: SparkSession, lk: L.Lake, bronze: dict[str, str], ds: str) -> dict[str, str]:
+def _stage(spark: SparkSession, df: DataFrame, path_root: str, ds: str, keep: bool) -> DataFrame:
+    """Optionally write a silver stage for lineage and continue from the written copy."""
+    if not keep:
+        return df
+    return spark.read.parquet(L.write_day(df, path_root, ds))
+
+
+def clean(spark: SparkSession, lk: L.Lake, bronze: dict[str, str], ds: str,
+          keep_stages: bool = False) -> dict[str, DataFrame]:
+    """Rename/explode, conform types, de-duplicate keep-last; one frame per entity."""
     out = {}
     for raw_entity, path in bronze.items():
         entity = RAW_ENTITIES[raw_entity]
@@ -93,24 +103,35 @@ def clean(spark: SparkSession, lk: L.Lake, bronze: dict[str, str], ds: str) -> d
             df = df.withColumn("_order", _order("_source_file", "_ord")).drop("_source_file", "_ord")
         df = conform.conform_types(df)
         df = keep_last(df, config.KEYS[entity], "_order").drop("_order")
-        out[entity] = L.write_day(df, lk.silver("cleaned", entity), ds)
+        out[entity] = _stage(spark, df, lk.silver("cleaned", entity), ds, keep_stages)
     return out
 
 
-def enrich(spark: SparkSession, lk: L.Lake, cleaned: dict[str, str], ds: str) -> dict[str, str]:
+def enrich(spark: SparkSession, lk: L.Lake, cleaned: dict[str, DataFrame], ds: str,
+           keep_stages: bool = False) -> tuple[dict[str, DataFrame], list[DataFrame]]:
+    """Derived columns, the stock snapshot and the load date.
+
+    The products frame feeds both products and stock, so it is persisted (when
+    not re-read from a written stage) to de-duplicate it once; the persisted
+    frames are returned for the caller to release after validation.
+    """
+    held: list[DataFrame] = []
     day = F.lit(ds).cast("date")
-    p = spark.read.parquet(cleaned["products"])
+    p = cleaned["products"]
     if "discount_pct" not in p.columns:
         p = p.withColumn("discount_pct", F.lit(None).cast("double"))
     p = p.withColumn("discounted_price", discounted_price("price", "discount_pct"))
-    c = spark.read.parquet(cleaned["customers"])
+    if not keep_stages:
+        p = p.persist(StorageLevel.MEMORY_AND_DISK)
+        held.append(p)
+    c = cleaned["customers"]
     for col in ("first_name", "last_name", "email"):
         if col not in c.columns:
             c = c.withColumn(col, F.lit(None).cast("string"))
     c = (c.withColumn("full_name", full_name("first_name", "last_name"))
           .withColumn("email", email_normalise("email"))
           .withColumn("age_band", age_band("age") if "age" in c.columns else F.lit(None).cast("string")))
-    v = spark.read.parquet(cleaned["sales"])
+    v = cleaned["sales"]
     src_date = lenient_date(F.col("date")) if "date" in v.columns else None
     v = carts.enrich_sales(v, ds, src_date)
     if "date" in v.columns:
@@ -118,19 +139,19 @@ def enrich(spark: SparkSession, lk: L.Lake, cleaned: dict[str, str], ds: str) ->
     s = p.select("product_id", F.col("stock").alias("quantity"), "price", "availability",
                  day.alias("reference_date"))
     frames = {"products": p, "customers": c, "sales": v, "stock": s}
-    return {e: L.write_day(df.withColumn("load_date", day), lk.silver("enriched", e), ds)
-            for e, df in frames.items()}
+    return {e: _stage(spark, df.withColumn("load_date", day), lk.silver("enriched", e), ds,
+                      keep_stages)
+            for e, df in frames.items()}, held
 
 
-def validate(spark: SparkSession, lk: L.Lake, enriched: dict[str, str], ds: str,
+def validate(spark: SparkSession, lk: L.Lake, enriched: dict[str, DataFrame], ds: str,
              limit: float | None = None) -> dict[str, str]:
     """Rules per entity; rejects always replace the day's rejects, valid rows after the gate."""
     out = {}
     for entity in ("products", "customers", "sales", "stock"):
-        df = spark.read.parquet(enriched[entity])
         dest = lk.silver("validated", entity)
         quality.validate(
-            df, entity, limit,
+            enriched[entity], entity, limit,
             write_rejects=lambda r, e=entity: L.write_day(r, lk.silver("rejects", e), ds),
             write_valid=lambda v, d=dest: L.write_day(v, d, ds))
         out[entity] = L.partition_dir(dest, ds)
@@ -263,8 +284,14 @@ def record_run(spark: SparkSession, lk: L.Lake, ds: str, run_id: str, results: d
 # ── the run ──────────────────────────────────────────────────────────────────
 def run_day(spark: SparkSession, lake_root: str, ds: str, records: dict[str, DataFrame] | None = None,
             raw_paths: dict[str, str] | None = None, run_id: str | None = None,
-            limit: float | None = None, fact_bucket_width: int = FACT_BUCKET_WIDTH) -> dict:
-    """Run one day end to end; the audit record is appended whatever happens."""
+            limit: float | None = None, fact_bucket_width: int = FACT_BUCKET_WIDTH,
+            keep_stages: bool = False) -> dict:
+    """Run one day end to end; the audit record is appended whatever happens.
+
+    Raw, bronze, rejects, validated silver and the warehouse tables are always
+    written; ``keep_stages`` also writes the cleaned and enriched silver stages
+    (lineage only: the run chains them lazily otherwise).
+    """
     from shelfline.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(spark)
     lk = L.Lake(lake_root)
@@ -279,11 +306,15 @@ def run_day(spark: SparkSession, lake_root: str, ds: str, records: dict[str, Dat
         results["landing"] = raw
         bronze = to_bronze(spark, lk, raw, ds, ingested_at)
         results["bronze"] = bronze
-        cleaned = clean(spark, lk, bronze, ds)
-        results["clean"] = cleaned
-        enriched = enrich(spark, lk, cleaned, ds)
-        results["enrich"] = enriched
-        validated = validate(spark, lk, enriched, ds, limit)
+        cleaned = clean(spark, lk, bronze, ds, keep_stages)
+        results["clean"] = sorted(cleaned)
+        enriched, held = enrich(spark, lk, cleaned, ds, keep_stages)
+        results["enrich"] = sorted(enriched)
+        try:
+            validated = validate(spark, lk, enriched, ds, limit)
+        finally:
+            for df in held:
+                df.unpersist()
         results["validate"] = validated
         for e, n in load_history(spark, lk, validated, ds).items():
             results[f"history_{e}"] = n

@@ -144,25 +144,22 @@ def overwrite_partition(spark: SparkSession, df: DataFrame, root: str, ds: str,
 
 
 def replace_partitions(spark: SparkSession, rows: DataFrame, root: str, col: str,
-                       staging: str, spread_by: list[str] | None = None) -> int:
-    """Overwrite the partitions present in ``rows`` (which may be derived from ``root``).
-
-    Spark refuses to overwrite a path the same job reads, so the new partition
-    contents are first written to ``staging`` (shared storage), then moved in
-    with dynamic partition overwrite.  A failure between the two steps leaves
-    the staged copy, and rerunning the upsert rebuilds it from the same inputs.
+                       spread_by: list[str] | None = None) -> int:
+    """Overwrite exactly the partitions present in ``rows``, which may be read from ``root``.
+
+    Dynamic partition overwrite writes the new files into the job's staging
+    directory and swaps each partition in at job commit, after every task has
+    finished reading, so rows derived from the partitions being replaced are
+    safe (a retried task still reads the old files).  Rows are range-partitioned
+    on (partition value, keys) first: each task holds a contiguous slice, so it
+    writes into one or two partitions instead of a small file into every
+    partition, and a partition holding a third of the rows is still spread over
+    several writers.  Returns the rows written (observed during the write).
     """
-    # Range-partition on (partition value, keys): each task holds a contiguous
-    # slice, so it writes into one or two partitions instead of a small file into
-    # every partition, and a partition holding a third of the rows is still
-    # spread over several writers.
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = rows.repartitionByRange(n, col, *(spread_by or []))
-    ordered.write.mode("overwrite").partitionBy(col).parquet(staging)
-    staged, obs = counted(spark.read.parquet(staging))
-    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy(col).parquet(root))
-    delete(spark, staging)
+    ordered, obs = counted(rows.repartitionByRange(n, col, *(spread_by or [])))
+    (ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(col).parquet(root))
     return int(obs.get["n_rows"])
 
 
