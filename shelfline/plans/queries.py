@@ -664,6 +664,9 @@ def _pipeline_two_days(spark, sf_dir, days=(1, 2)):
 def q_pipeline_end_to_end(spark, sf_dir):
     """Two daily runs from landed JSON to the fact table."""
     P, lk = _pipeline_two_days(spark, sf_dir)
+    # only the fact is returned: drop the day's intermediate layers from scratch
+    for layer in ("raw", "bronze", "silver", "_staging"):
+        L.delete(spark, f"{lk.root}/{layer}")
     return P.read_fact(spark, lk)
 
 

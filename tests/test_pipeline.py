@@ -75,3 +75,16 @@ def test_day_without_carts(spark, tmp_lake):
     res = P.run_day(spark, tmp_lake, DS, raw_paths=raw, run_id="empty-carts")
     assert res["history_sales"] == 0 and res["history_products"] == 30
     assert res["fact"] == 0
+
+
+def test_keep_stages_writes_lineage_layers(spark, tmp_lake):
+    docs = fx.write_envelopes(tmp_lake)
+    raw = P.land_envelopes(spark, tmp_lake, docs, DS)
+    res = P.run_day(spark, tmp_lake, DS, raw_paths=raw, run_id="stages", keep_stages=True)
+    lk = L.Lake(tmp_lake)
+    for stage in ("cleaned", "enriched", "validated", "rejects"):
+        assert L.exists(spark, L.partition_dir(lk.silver(stage, "sales"), DS))
+    cat = spark.read.json(L.partition_dir(lk.catalogue(), DS))
+    assert {r["entity"]: r["n_rows"] for r in cat.collect()} == \
+        {"products": 30, "customers": 20, "carts": 15}
+    assert res["history_sales"] == 45
