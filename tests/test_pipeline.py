@@ -26,7 +26,7 @@ def test_stages_to_silver(spark, tmp_lake):
     cust = spark.read.parquet(L.partition_dir(lk.silver("validated", "customers"), DS))
     first = cust.where("customer_id = 1").first()
     assert first["email"] == "name1@x.example.com"
-    assert first["city"] == "Phoenix" and first["state_code"] == "MS"
+    assert first["city"] == "Springfield" and first["state_code"] == "OR"
     assert "password" not in spark.read.parquet(L.partition_dir(lk.bronze("customers"), DS)).columns
     stock = spark.read.parquet(L.partition_dir(lk.silver("validated", "stock"), DS))
     assert stock.count() == 30 and "quantity" in stock.columns
