@@ -266,3 +266,15 @@ def test_table_columns(spark, tmp_lake):
     assert lake_scan.table_columns(spark, p) == ["id"]
     with pytest.raises(RuntimeError, match="does not exist"):
         lake_scan.table_columns(spark, os.path.join(tmp_lake, "missing"))
+
+
+def test_keep_last_with_a_hot_key(spark):
+    """One key holds a third of the rows: still one row per key, the last one."""
+    n = 30000
+    df = spark.range(0, n, 1, 12).select(
+        F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"),
+        F.col("id").alias("ord"), (F.col("id") * 2).alias("v"))
+    out = dedup.keep_last(df, ["k"], "ord")
+    assert out.count() == 1 + (n - n // 3)
+    hot = out.where("k = -1").first()
+    assert hot["ord"] == n - 3 and hot["v"] == 2 * (n - 3)
