@@ -27,6 +27,24 @@ from shelfline.sources.envelope import read_raw_json
 log = logging.getLogger(__name__)
 
 PIPELINE = "retail_daily"
+PARALLEL_JOBS = 4   # independent per-entity jobs submitted together from driver threads
+
+
+def _parallel(fn, items, workers: int = PARALLEL_JOBS) -> list:
+    """Run ``fn`` over independent items from driver threads; Spark schedules the
+    jobs side by side.  Results keep the items' order; the first error is raised
+    after every item has finished."""
+    items = list(items)
+    if workers <= 1 or len(items) <= 1:
+        return [fn(x) for x in items]
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=min(workers, len(items))) as pool:
+        futures = [pool.submit(fn, x) for x in items]
+        errors = [f.exception() for f in futures]
+    for e in errors:
+        if e is not None:
+            raise e
+    return [f.result() for f in futures]
 RAW_ENTITIES = {"products": "products", "customers": "customers", "carts": "sales"}
 DIMENSIONS = ["product", "customer", "date", "category", "brand"]
 
@@ -41,15 +59,18 @@ def land(lk: L.Lake, records: dict[str, DataFrame], ds: str) -> dict[str, str]:
 def to_bronze(spark: SparkSession, lk: L.Lake, raw_paths: dict[str, str], ds: str,
               ingested_at: str) -> dict[str, str]:
     """Flatten one level, everything as text, lineage columns; write + catalogue."""
-    out, catalogue = {}, []
-    for entity, path in raw_paths.items():
+    def one(item):
+        entity, path = item
         recs = read_raw_json(spark, path)
         flat = conform.flatten_one_level(
             recs.withColumnRenamed("source_file", "_source_file").withColumnRenamed("ord", "_ord"))
         flat = flat.withColumn("_ingested_at", F.lit(ingested_at))
         dest, n = L.write_day_counted(flat, lk.bronze(entity), ds)
-        catalogue.append((entity, path, dest, n, list(flat.columns), ds))
-        out[entity] = dest
+        return entity, (entity, path, dest, n, list(flat.columns), ds)
+
+    done = _parallel(one, raw_paths.items())
+    out = {entity: row[2] for entity, row in done}
+    catalogue = [row for _, row in done]
     cat = spark.createDataFrame(
         catalogue, "entity string, source string, destination string, n_rows long, "
                    "columns array<string>, dt string")
@@ -147,21 +168,24 @@ def enrich(spark: SparkSession, lk: L.Lake, cleaned: dict[str, DataFrame], ds: s
 def validate(spark: SparkSession, lk: L.Lake, enriched: dict[str, DataFrame], ds: str,
              limit: float | None = None) -> dict[str, str]:
     """Rules per entity; rejects always replace the day's rejects, valid rows after the gate."""
-    out = {}
-    for entity in ("products", "customers", "sales", "stock"):
+    def one(entity):
         dest = lk.silver("validated", entity)
         quality.validate(
             enriched[entity], entity, limit,
-            write_rejects=lambda r, e=entity: L.write_day(r, lk.silver("rejects", e), ds),
-            write_valid=lambda v, d=dest: L.write_day(v, d, ds))
-        out[entity] = L.partition_dir(dest, ds)
-    return out
+            write_rejects=lambda r: L.write_day(r, lk.silver("rejects", entity), ds),
+            write_valid=lambda v: L.write_day(v, dest, ds))
+        return entity, L.partition_dir(dest, ds)
+
+    return dict(_parallel(one, ("products", "customers", "sales", "stock")))
 
 
 # ── 04 history loads ─────────────────────────────────────────────────────────
 def load_history(spark: SparkSession, lk: L.Lake, validated: dict[str, str], ds: str) -> dict[str, int]:
-    return {e: history.load_day(spark, spark.read.parquet(p), lk.history(e), e, ds, p)
-            for e, p in validated.items()}
+    def one(item):
+        e, p = item
+        return e, history.load_day(spark, spark.read.parquet(p), lk.history(e), e, ds, p)
+
+    return dict(_parallel(one, validated.items()))
 
 
 # ── 05 fact ──────────────────────────────────────────────────────────────────
@@ -319,8 +343,11 @@ def run_day(spark: SparkSession, lake_root: str, ds: str, records: dict[str, Dat
         for e, n in load_history(spark, lk, validated, ds).items():
             results[f"history_{e}"] = n
         results["fact"] = build_fact(spark, lk, ds, fact_bucket_width)
-        for d in DIMENSIONS:
-            results[f"dim_{d}"] = build_dimension(spark, lk, d, ds)
+        # the four keyed dimensions are independent; the calendar reads the fact
+        keyed = [d for d in DIMENSIONS if d != "date"]
+        for d, n in zip(keyed, _parallel(lambda d: build_dimension(spark, lk, d, ds), keyed)):
+            results[f"dim_{d}"] = n
+        results["dim_date"] = build_dimension(spark, lk, "date", ds)
     except BaseException as exc:  # noqa: BLE001 - audit runs whatever failed
         error = exc
     try:
