@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.functions import (age_band, discount_amount, email_normalise, full_name,
+from shelfline.functions import (age_band, email_normalise, full_name,
                                  round2)
 
 # ── Fixed scenario parameters ────────────────────────────────────────────────

@@ -88,3 +88,17 @@ def test_keep_stages_writes_lineage_layers(spark, tmp_lake):
     assert {r["entity"]: r["n_rows"] for r in cat.collect()} == \
         {"products": 30, "customers": 20, "carts": 15}
     assert res["history_sales"] == 45
+
+
+def test_catalog_tables_over_the_lake(spark, tmp_lake):
+    from shelfline.sinks import catalog
+    _run(spark, tmp_lake)
+    tables = catalog.register_tables(spark, tmp_lake, "retail_test")
+    assert "retail_test.history_sales" in tables and "retail_test.dim_brand" in tables
+    n = spark.sql(f"SELECT count(*) FROM retail_test.history_sales WHERE load_date = '{DS}'").first()[0]
+    assert n == 45
+    assert spark.table("retail_test.dim_category").count() == 5
+    assert spark.table("retail_test.fact_sales").count() == 45
+    assert "product_sk" in catalog.table_columns(spark, "retail_test.dim_product")
+    with pytest.raises(RuntimeError, match="does not exist"):
+        catalog.table_columns(spark, "retail_test.nope")
