@@ -7,7 +7,8 @@ Layout under a lake root (any Hadoop file system URI)::
     bronze/_catalogue/dt=<ds>/             JSON, one row per entity
     silver/<stage>/<entity>/dt=<ds>/       Parquet (cleaned, enriched, validated, rejects)
     warehouse/history_<entity>/load_date=  Parquet, one partition per load day
-    warehouse/<table>/v=<n>/               Parquet snapshots (fact, dimensions)
+    warehouse/fact_sales/cart_range=<n>/   Parquet, fact partitioned by cart-key range
+    warehouse/dim_<name>/v=<n>/            Parquet snapshots of the dimensions
     audit/runs/                            Parquet, append-only
 
 File-system calls go through the JVM's Hadoop ``FileSystem`` so they work on
