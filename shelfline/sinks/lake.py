@@ -151,14 +151,15 @@ def replace_partitions(spark: SparkSession, rows: DataFrame, root: str, col: str
     Dynamic partition overwrite writes the new files into the job's staging
     directory and swaps each partition in at job commit, after every task has
     finished reading, so rows derived from the partitions being replaced are
-    safe (a retried task still reads the old files).  Rows are range-partitioned
-    on (partition value, keys) first: each task holds a contiguous slice, so it
-    writes into one or two partitions instead of a small file into every
-    partition, and a partition holding a third of the rows is still spread over
-    several writers.  Returns the rows written (observed during the write).
+    safe (a retried task still reads the old files).  Rows are rebalanced on the
+    partition column first: each task then writes into few partitions instead
+    of a small file into every partition, and AQE splits a partition value that
+    holds a third of the rows over several writers and coalesces small ones
+    (no sampling pass, unlike a range repartition).  ``spread_by`` is kept for
+    callers; the rebalance needs only the partition column.  Returns the rows
+    written (observed during the write).
     """
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered, obs = counted(rows.repartitionByRange(n, col, *(spread_by or [])))
+    ordered, obs = counted(rows.hint("rebalance", col))
     (ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(col).parquet(root))
     return int(obs.get["n_rows"])
