@@ -9,15 +9,16 @@
    expanded into pairs: in each of a few rounds every member is paired with one
    pivot of its bucket, in later rounds only across components found so far.
    What is then still divided is paired exactly, the members outside the
-   bucket's largest component against all others (large buckets first split by
-   a second band key, which a pair over the threshold shares as well).
+   bucket's largest component against all others, each pair in its first shared
+   bucket only (large buckets are first split by a second band key, which a pair
+   over the threshold shares as well).
 4. A pair's similarity is estimated from the packed signatures by bit counts,
    corrected for the chance agreement of ``BITS`` bits, and dropped when far
    below the threshold; what is left is confirmed on the full shingle sets.
 5. Components are found by joins (``components``).
 
 At similarity 0.8 a pair shares no band with probability (1 - 0.8^6)^32 = 6e-5,
-and the estimate errs low by the margin with probability below 1e-7.
+and the estimate errs low by the margin with probability 2e-5.
 """
 
 from __future__ import annotations
@@ -34,10 +35,11 @@ from .components import connected_components
 HASHES, BITS, ROWS = 192, 2, 6
 BANDS = HASHES // ROWS
 PERCENT = 80
-#: The estimate must reach the threshold less this margin (about six standard errors).
-MARGIN = 0.2
-#: Members of a divided bucket from which it is split by a second band key.
-LARGE_BUCKET = 64
+#: The estimate must reach the threshold less this margin (over four standard errors).
+MARGIN = 0.14
+#: Members outside the largest component of a divided bucket, above which the bucket is split
+#: by a second band key.
+LARGE_BUCKET = 512
 PIVOT_ROUNDS = 2
 
 _rng = np.random.default_rng(20250101)
@@ -129,12 +131,20 @@ def estimated_similarity(a: Column, b: Column) -> Column:
     return ((F.lit(1.0) - differ / F.lit(float(HASHES))) - F.lit(chance)) / F.lit(1.0 - chance)
 
 
-def _likely(pairs: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, na, sa, b, nb, sb) whose sizes and estimate allow the threshold, as (a, b)."""
+def _possible(percent: int) -> Column:
+    """Whether sizes (na, nb) and signatures (sa, sb) of a pair (a, b) allow the threshold."""
     sizes = F.lit(100) * F.least("na", "nb") >= F.lit(percent) * F.greatest("na", "nb")
     near = estimated_similarity(F.col("sa"), F.col("sb")) >= F.lit(percent / 100 - MARGIN)
-    return (pairs.where(F.col("a") != F.col("b")).where(sizes).where(near)
-            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    return (F.col("a") != F.col("b")) & sizes & near
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _likely(pairs: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, na, sa, b, nb, sb) whose sizes and estimate allow the threshold, as (a, b)."""
+    return _ordered(pairs.where(_possible(percent)))
 
 
 def confirmed(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -157,23 +167,30 @@ def confirmed(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> Da
 
 
 def _divided(members: DataFrame, keys: list[str]) -> DataFrame:
-    """Buckets whose members are in more than one component, with the largest component."""
+    """Buckets whose members are in more than one component, with the largest component and
+    the number of members outside it."""
     per = members.groupBy(*keys, "comp").agg(F.count(F.lit(1)).alias("c"))
-    return (per.groupBy(*keys).agg(F.count(F.lit(1)).alias("comps"), F.sum("c").alias("members"),
+    return (per.groupBy(*keys).agg(F.count(F.lit(1)).alias("comps"), (F.sum("c") - F.max("c")).alias("outside"),
                                    F.max_by("comp", "c").alias("largest")).where("comps > 1"))
 
 
-def _across(members: DataFrame, buckets: DataFrame, keys: list[str], percent: int) -> DataFrame:
-    """Likely pairs across components: members outside the largest component against all."""
-    buckets = staged(buckets.select(*keys, "largest"), "divided")
-    inside = members.join(buckets, keys)
+def _across(inside: DataFrame, keys: list[str], last: str, shared: int, percent: int) -> DataFrame:
+    """Likely pairs across components: members outside their bucket's largest component against
+    all.  A pair is made once, in the bucket before whose band ``last`` it shares ``shared`` bands."""
     probes = inside.where("comp <> largest").select(
-        *keys, F.col("rep").alias("a"), F.col("n").alias("na"), F.col("sig").alias("sa"), F.col("comp").alias("ca"))
-    # two small conditions keep a pair of probes from being made twice
+        *keys, F.col("rep").alias("a"), F.col("n").alias("na"), F.col("sig").alias("sa"), F.col("comp").alias("ca"),
+        F.col("bands").alias("xa"))
     others = inside.select(*keys, F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("sig").alias("sb"),
-                           F.col("comp").alias("cb"), "largest")
-    pairs = probes.join(others, keys).where("ca <> cb and (cb = largest or a < b)")
-    return _likely(pairs, percent)
+                           F.col("comp").alias("cb"), F.col("bands").alias("xb"), "largest")
+    p, o = probes.alias("p"), others.alias("o")
+    same = [F.col(f"p.{k}") == F.col(f"o.{k}") for k in keys]
+    before = F.size(F.filter(F.sequence(F.lit(0), F.lit(BANDS - 1)),
+                             lambda k: (k < F.col(f"p.{last}")) & (F.get(F.col("xa"), k) == F.get(F.col("xb"), k))))
+    once = F.expr("ca <> cb and (cb = largest or a < b)")
+    on = same[0]
+    for condition in (*same[1:], once, _possible(percent), before == shared):
+        on = on & condition
+    return _ordered(p.join(o, on).select("a", "b"))
 
 
 def near_duplicates(docs: DataFrame, words: int = 4, percent: int = PERCENT,
@@ -194,7 +211,6 @@ def near_duplicates(docs: DataFrame, words: int = 4, percent: int = PERCENT,
                   .select("f1", "f2", F.col("n_shingles").alias("n"), F.col("r.doc_id").alias("rep"),
                           F.col("r.sig").alias("sig"), F.col("r.bands").alias("bands")), "reps")
     keyed = reps.select("rep", "n", "sig", F.posexplode("bands").alias("band", "key"))
-    order = lambda *cols: F.min(F.struct(*cols, "rep", "n", "sig"))
     buckets = staged(keyed.groupBy("band", "key").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("band", "key"), "buckets")
     members = staged(keyed.join(buckets, ["band", "key"]), "members")
 
@@ -203,7 +219,7 @@ def near_duplicates(docs: DataFrame, words: int = 4, percent: int = PERCENT,
     for at in range(pivot_rounds):
         now = _labelled(members, labels)
         mixed = [] if at == 0 else [F.xxhash64(F.lit(at), "band", "rep").alias("h")]
-        pivots = now.groupBy("band", "key").agg(order(*mixed).alias("p"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+        pivots = now.groupBy("band", "key").agg(F.min(F.struct(*mixed, "rep", "n", "sig")).alias("p"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
         pivots = staged(pivots.where("lo <> hi").select("band", "key", "p.rep", "p.n", "p.sig")
                         .toDF("band", "key", "b", "nb", "sb"), "pivots")
         pairs = now.select("band", "key", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("sig").alias("sa"), "comp")
@@ -213,16 +229,15 @@ def near_duplicates(docs: DataFrame, words: int = 4, percent: int = PERCENT,
             pairs = pairs.join(of_pivot, "b", "left").where(F.col("comp") != F.coalesce("cb", "b"))
         links, labels = _joined(docs, links, _likely(pairs, percent), words, percent)
 
-    now = staged(_labelled(members, labels), "divided-members")
-    divided = staged(_divided(now, ["band", "key"]), "divided-buckets")
-    pairs = _across(now, divided.where(F.col("members") < large_bucket), ["band", "key"], percent)
-    large = divided.where(F.col("members") >= large_bucket).select("band", "key")
-    second = (now.join(large, ["band", "key"]).join(reps.select("rep", "bands"), "rep")
-              .select("band", "key", "rep", "n", "sig", "comp", F.posexplode("bands").alias("band2", "key2"))
-              .where("band2 <> band"))
+    now = _labelled(members, labels)
+    divided = staged(_divided(now, ["band", "key"]).select("band", "key", "largest", "outside"), "divided")
+    inside = staged(now.join(divided, ["band", "key"]).join(reps.select("rep", "bands"), "rep"), "inside")
+    pairs = _across(inside.where(F.col("outside") <= large_bucket), ["band", "key"], "band", 0, percent)
+    second = (inside.where(F.col("outside") > large_bucket).drop("largest", "outside")
+              .select("*", F.posexplode("bands").alias("band2", "key2")).where("band2 > band"))
     finer = ["band", "key", "band2", "key2"]
-    second = staged(second, "second")
-    pairs = pairs.unionByName(_across(second, _divided(second, finer), finer, percent)).distinct()
+    of_second = staged(_divided(second, finer).select(*finer, "largest"), "divided-again")
+    pairs = pairs.unionByName(_across(second.join(of_second, finer), finer, "band2", 1, percent)).distinct()
     links, labels = _joined(docs, links, pairs, words, percent)
 
     classes = (reps.select("f1", "f2", F.col("n").alias("n_shingles"), "rep")
