@@ -23,19 +23,7 @@ ENVELOPE_KEYS = {"products": "products", "customers": "users", "carts": "carts"}
 # Fields requested for customers at the source; nothing else may land (privacy).
 CUSTOMER_SOURCE_FIELDS = ["id", "firstName", "lastName", "email", "age", "gender",
                           "birthDate", "address"]
-# ── end of fixed values ───────────────────────────────────────────────────────
-
-# English alternatives for the calendar and brand labels.
-MONTH_NAMES_EN = ["January", "February", "March", "April", "May", "June", "July",
-                  "August", "September", "October", "November", "December"]
-WEEKDAY_NAMES_EN = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday",
-                    "Saturday", "Sunday"]
-
-
-def reject_limit() -> float:
-    return float(os.getenv("SHELFLINE_REJECT_LIMIT", DEFAULT_REJECT_LIMIT))
-
-
+# Keys, mandatory columns and field names below: names and sets given by the source contract.
 # Source field -> silver column.  Only mapped fields go on, in this order.
 RENAME = {
     "products": {
@@ -59,11 +47,6 @@ CART_LINE_FIELDS = {
     "discountedTotal": "net_amount",
 }
 
-NUMERIC_COLUMNS = ["price", "discount_pct", "rating", "stock", "age", "quantity",
-                   "gross_amount", "net_amount"]
-ID_COLUMNS = ["product_id", "customer_id", "cart_id"]
-DATE_COLUMNS = ["birth_date"]
-
 KEYS = {
     "products": ["product_id"],
     "customers": ["customer_id"],
@@ -76,3 +59,7 @@ MANDATORY = {
     "sales": ["cart_id", "customer_id", "product_id", "quantity", "price"],
     "stock": ["product_id", "reference_date", "quantity"],
 }
+# ── end of fixed values ───────────────────────────────────────────────────────
+
+def reject_limit() -> float:
+    return float(os.getenv("SHELFLINE_REJECT_LIMIT", DEFAULT_REJECT_LIMIT))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfline import config
+from shelfline.schemas import SILVER
 from shelfline.functions import (as_text, lenient_date, lenient_double, lenient_long,
                                  trim_blank_null)
 
@@ -94,20 +94,23 @@ def rename_allowlist(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
     return df.select(*[F.col(f"`{s}`").alias(t) for s, t in present])
 
 
-def conform_types(df: DataFrame, numeric=None, ids=None, dates=None) -> DataFrame:
-    """Trim text, blanks to null; lenient numeric, id and date parsing (3.5-3.8)."""
-    numeric = config.NUMERIC_COLUMNS if numeric is None else numeric
-    ids = config.ID_COLUMNS if ids is None else ids
-    dates = config.DATE_COLUMNS if dates is None else dates
+#: Declared type of every silver column.
+_SILVER_TYPES = {f.name: f.dataType for schema in SILVER.values() for f in schema.fields}
+
+
+def conform_types(df: DataFrame) -> DataFrame:
+    """Trim text, blanks to null; lenient id, numeric and date parsing by the declared
+    silver types (3.5-3.8)."""
     out = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         is_text = isinstance(f.dataType, T.StringType)
-        if f.name in ids:
+        declared = _SILVER_TYPES.get(f.name)
+        if isinstance(declared, T.LongType):
             c = lenient_long(c)
-        elif f.name in numeric:
+        elif isinstance(declared, T.DoubleType):
             c = lenient_double(c) if is_text else c.cast("double")
-        elif f.name in dates:
+        elif isinstance(declared, T.DateType):
             c = lenient_date(c) if is_text else c.cast("date")
         elif is_text:
             c = trim_blank_null(c)

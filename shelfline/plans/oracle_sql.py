@@ -55,8 +55,8 @@ def customers_silver(day=None) -> str:
     domain = ("CASE WHEN c_mktsegment = 'MACHINERY' THEN '@New.Example.COM' "
               "ELSE '@Shop.Example.COM' END") if day == 2 else "'@Shop.Example.COM'"
     handle = "replace(c_name, '#', '.')"
-    first = "upper(substr(c_mktsegment, 1, 1)) || lower(substr(c_mktsegment, 2, 100))"
-    last = "CASE WHEN c_acctbal >= 0 THEN substr(c_name, 10, 100) END"
+    first = "upper(substr(c_mktsegment, 1, 1)) || lower(substr(c_mktsegment, 2))"
+    last = "CASE WHEN c_acctbal >= 0 THEN substr(c_name, 10) END"
     age = "CASE WHEN c_custkey % 70 <> 69 THEN 10 + c_custkey % 70 END"
     bdate = ("CAST(CAST(1940 + c_custkey % 60 AS VARCHAR) || '-' || CAST(c_custkey % 12 + 1 AS VARCHAR)"
              " || '-' || CAST(c_custkey % 28 + 1 AS VARCHAR) AS DATE)")

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -40,7 +39,9 @@ CLUSTER_CONF = {
 
 
 def get_session(master: str | None = None, shuffle_partitions: int = 8,
-                app_name: str = "shelfline", cluster: bool = False) -> SparkSession:
+                app_name: str = "shelfline", cluster: bool = False,
+                checkpoint_dir: str | None = None) -> SparkSession:
+    """A session with this library's settings; ``checkpoint_dir`` is for local runs."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
@@ -51,6 +52,8 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
         for k, v in CLUSTER_CONF.items():
             builder = builder.config(k, v)
     spark = builder.getOrCreate()
+    if checkpoint_dir and not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(checkpoint_dir)
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
@@ -66,8 +69,9 @@ def apply_conf(spark: SparkSession) -> None:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint directory.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when it is unset (local
-    tests) do we pick a fresh directory of our own.
+    The cluster names it in ``spark.checkpoint.dir``; tests and tools set their own
+    before.  A machine-local default would scatter files over the executors, so an
+    unset folder is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -75,7 +79,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
-        conf_dir = tempfile.mkdtemp(prefix="shelfline-ckpt-")
+        raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 
@@ -88,12 +92,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/lake-{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for helpers that need an OS path (tests only)."""
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path)

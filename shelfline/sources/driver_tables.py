@@ -30,7 +30,6 @@ CART_DAY2_FROM = "1998-01-01"     # day 2 carts: orders from this date (overlap
 LINE_ORDER = ["l_linenumber", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
               "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
 
-CART_CHUNK = 1000                 # line numbers per cart document
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -129,8 +128,8 @@ def _customer_base(spark, sf_dir, day):
     seg = F.col("c_mktsegment")
     return c.select(
         F.col("c_custkey").alias("id"),
-        F.concat(F.upper(F.substring(seg, 1, 1)), F.lower(F.substring(seg, 2, 100))).alias("firstName"),
-        F.when(F.col("c_acctbal") >= 0, F.substring(F.col("c_name"), 10, 100)).alias("lastName"),
+        F.concat(F.upper(F.substring(seg, 1, 1)), F.lower(F.expr("substring(c_mktsegment, 2)"))).alias("firstName"),
+        F.when(F.col("c_acctbal") >= 0, F.expr("substring(c_name, 10)")).alias("lastName"),
         email.alias("email"),
         F.when(F.col("c_custkey") % 70 != 69, 10 + F.col("c_custkey") % 70).alias("age"),
         F.when(F.col("c_custkey") % 2 == 0, F.lit("female")).otherwise(F.lit("male")).alias("gender"),
@@ -228,11 +227,9 @@ def cart_records(spark: SparkSession, sf_dir: str, day: int | None = None) -> Da
                  v["discount_pct"].alias("discountPercentage"),
                  v["net_amount"].alias("discountedTotal"),
                  F.lit("x").alias("thumbnail")).alias("i"))
-    # One cart document per order; an order with very many lines is split into
-    # documents of at most CART_CHUNK line numbers so no group is unbounded.
+    # One cart document per order: the source nests all lines of a cart in one document.
     carts = j.groupBy(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("userId"),
-                      F.col("o_orderdate").alias("_od"),
-                      F.floor(F.col("l_linenumber") / CART_CHUNK).alias("_chunk")).agg(
+                      F.col("o_orderdate").alias("_od")).agg(
         F.array_sort(F.collect_list(item)).alias("_items"))
     items = F.transform("_items", lambda x: x["i"])
     return carts.select(

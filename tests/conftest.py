@@ -11,7 +11,8 @@ from shelfline.session import get_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    s = get_session("local[4]", shuffle_partitions=4, app_name="shelfline-tests")
+    s = get_session("local[4]", shuffle_partitions=4, app_name="shelfline-tests",
+                    checkpoint_dir=tempfile.mkdtemp(prefix="shelfline-test-ckpt-"))
     yield s
     s.stop()
 

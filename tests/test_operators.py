@@ -278,3 +278,11 @@ def test_keep_last_with_a_hot_key(spark):
     assert out.count() == 1 + (n - n // 3)
     hot = out.where("k = -1").first()
     assert hot["ord"] == n - 3 and hot["v"] == 2 * (n - 3)
+
+
+def test_lenient_long_keeps_large_ids_exact(spark):
+    texts = ["9007199254740993", "1234567890123456789", "1234567890123456790.0", " 12 ", "1.5", "1e3",
+             "9223372036854775808", "1e-30", "x", None]
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    got = [r[0] for r in df.select(lenient_long("s")).collect()]
+    assert got == [9007199254740993, 1234567890123456789, 1234567890123456790, 12, None, 1000, None, None, None, None]

@@ -12,6 +12,7 @@ import contextlib
 import io
 import os
 import sys
+import tempfile
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -36,7 +37,7 @@ def plan_text(df) -> str:
 
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    spark = get_session("local[8]", 16)
+    spark = get_session("local[8]", 16, checkpoint_dir=tempfile.mkdtemp(prefix="plans-"))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(1 << 20))
     fact_src = Q._consolidated(spark, sf_dir, 2).withColumn(
         "cart_range", upsert.key_range("cart_id", 4096))
