@@ -32,7 +32,7 @@ from .components import connected_components
 
 COSINE = 0.95
 #: Bounds: vectors looked at for anchors, anchors, rows of a block.
-SAMPLE, ANCHORS, LEAST_BLOCK, MOST_BLOCK = 4096, 256, 512, 8192
+SAMPLE, ANCHORS, LEAST_BLOCK, MOST_BLOCK = 4096, 256, 1024, 8192
 #: Covering radii of the levels below a cell.
 RADII = (1.0, 0.5, 0.25, 0.125, 0.0625)
 #: Slack of the bounds against rounding.
@@ -101,7 +101,9 @@ def build_levels(x: np.ndarray) -> tuple[np.ndarray, list[tuple[np.ndarray, np.n
 
 def pack_block(ids: np.ndarray, vectors: np.ndarray) -> bytes:
     order, levels = build_levels(unit(vectors))
-    arrays = {"ids": ids[order], "x": vectors[order]}
+    short = vectors.astype(np.float32)  # the usual source type, at half the bytes
+    kept = short if (short == vectors).all() else vectors
+    arrays = {"ids": ids[order], "x": kept[order]}
     for k, (starts, centres, radii) in enumerate(levels):
         arrays |= {f"s{k}": starts, f"c{k}": centres, f"r{k}": radii}
     out = io.BytesIO()
@@ -239,7 +241,7 @@ def near_duplicates(embeddings: DataFrame, cosine: float = COSINE) -> DataFrame:
            & F.exists("v", lambda x: x != 0))
     good = rows.where(fit).withColumn("dim", F.size("v"))
     n = good.count()
-    block_rows = int(min(MOST_BLOCK, max(LEAST_BLOCK, n // 64)))
+    block_rows = int(min(MOST_BLOCK, max(LEAST_BLOCK, n // 32)))
     wanted = int(min(ANCHORS, max(1, n // (2 * block_rows))))
     sample = good.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("dim", "v").toPandas()
     anchors = {}

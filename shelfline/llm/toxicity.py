@@ -284,7 +284,7 @@ def train(sample: pd.DataFrame) -> ToxicityScorer:
     base = np.log((y.sum() + 1) / (len(y) - y.sum() + 1))
     texts = sample["text"].tolist()
     marks = y.astype(int).tolist()
-    scorer = ToxicityScorer(*spared(texts, marks, learned_terms(texts, marks)), np.array([3.0, 2.5, 0.3, 0.5, base]))
+    scorer = ToxicityScorer(*spared(texts, marks, learned_terms(texts, marks)), np.array([3.0, 3.5, 0.3, 0.5, base]))
     if len(np.unique(y)) == 2:
         scorer.weights = logistic(scorer.features(texts), y, scorer.weights, np.array([3.0, 1.5, 1.5, 2.0, 10.0]))
     return scorer
