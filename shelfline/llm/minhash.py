@@ -210,16 +210,20 @@ def near_duplicates(docs: DataFrame, words: int = 4, percent: int = PERCENT,
                   .agg(F.min(F.struct("doc_id", "sig", "bands")).alias("r"))
                   .select("f1", "f2", F.col("n_shingles").alias("n"), F.col("r.doc_id").alias("rep"),
                           F.col("r.sig").alias("sig"), F.col("r.bands").alias("bands")), "reps")
-    keyed = reps.select("rep", "n", "sig", F.posexplode("bands").alias("band", "key"))
-    buckets = staged(keyed.groupBy("band", "key").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("band", "key"), "buckets")
-    members = staged(keyed.join(buckets, ["band", "key"]), "members")
+    # only ids travel with the band keys: most of them are alone in their bucket
+    keyed = reps.select("rep", F.posexplode("bands").alias("band", "key"))
+    buckets = staged(keyed.groupBy("band", "key").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), "buckets")
+    shared = staged(keyed.join(buckets, ["band", "key"]), "shared")
+    central = shared.groupBy("rep").agg(F.sum("m").alias("w")).join(reps.select("rep", "n", "sig"), "rep")
+    members = staged(shared.select("rep", "band", "key").join(central, "rep"), "members")
 
     labels = None
     links = None
     for at in range(pivot_rounds):
         now = _labelled(members, labels)
-        mixed = [] if at == 0 else [F.xxhash64(F.lit(at), "band", "rep").alias("h")]
-        pivots = now.groupBy("band", "key").agg(F.min(F.struct(*mixed, "rep", "n", "sig")).alias("p"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+        order = -F.col("w") if at == 0 else F.xxhash64(F.lit(at), "band", "rep")
+        pivots = now.groupBy("band", "key").agg(F.min(F.struct(order.alias("h"), "rep", "n", "sig")).alias("p"),
+                                                F.min("comp").alias("lo"), F.max("comp").alias("hi"))
         pivots = staged(pivots.where("lo <> hi").select("band", "key", "p.rep", "p.n", "p.sig")
                         .toDF("band", "key", "b", "nb", "sb"), "pivots")
         pairs = now.select("band", "key", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("sig").alias("sa"), "comp")
