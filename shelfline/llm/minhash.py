@@ -12,9 +12,14 @@
    bucket's largest component against all others, each pair in its first shared
    bucket only (large buckets are first split by a second band key, which a pair
    over the threshold shares as well).
+   The first pivot of a bucket is its most central member, the one with the most
+   companions over all its buckets.
 4. A pair's similarity is estimated from the packed signatures by bit counts,
    corrected for the chance agreement of ``BITS`` bits, and dropped when far
    below the threshold; what is left is confirmed on the full shingle sets.
+   Members of divided buckets also carry a parity sketch of their sets: the bits
+   in which two sketches differ never outnumber the shingles in which the sets
+   differ, so a pair that differs in too many bits is ruled out without error.
 5. Components are found by joins (``components``).
 
 At similarity 0.8 a pair shares no band with probability (1 - 0.8^6)^32 = 6e-5,
@@ -48,6 +53,8 @@ _ADD = _rng.integers(0, 1 << 32, HASHES, dtype=np.uint64).astype(np.uint32)
 _BAND_MULTIPLY = _rng.integers(1, 1 << 62, (BANDS, ROWS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 PER_LONG = 64 // BITS
 LONGS = HASHES // PER_LONG
+#: Bits of a parity sketch, a power of two; sets of many more shingles are left to the estimate.
+SKETCH_BITS = 1024
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -92,6 +99,13 @@ def band_keys(minima: np.ndarray) -> np.ndarray:
     return _mixed((m * _BAND_MULTIPLY).sum(axis=2, dtype=np.uint64)).view(np.int64)
 
 
+def parity_sketch(shingles: np.ndarray) -> np.ndarray:
+    """Signed longs whose bit k is the parity of the number of shingles that hash to k."""
+    slots = _mixed(shingles ^ np.uint64(0xA0761D6478BD642F)) >> np.uint64(64 - SKETCH_BITS.bit_length() + 1)
+    odd = (np.bincount(slots.astype(np.int64), minlength=SKETCH_BITS) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64)
+
+
 def signatures(docs: DataFrame, words: int) -> DataFrame:
     """(doc_id, n_shingles, f1, f2, sig, bands); sig and bands null for an empty set."""
     def run(ids, texts):
@@ -131,6 +145,20 @@ def estimated_similarity(a: Column, b: Column) -> Column:
     return ((F.lit(1.0) - differ / F.lit(float(HASHES))) - F.lit(chance)) / F.lit(1.0 - chance)
 
 
+def _differ(a: Column, b: Column, i: int) -> Column:
+    return F.bit_count(F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i))))
+
+
+def _sketches_allow(percent: int) -> Column:
+    """Whether sketches (ka, kb) leave room for the threshold: two sets of na and nb shingles that
+    reach it differ in at most (na + nb) (100 - percent) / (100 + percent) of them."""
+    a, b = F.col("ka"), F.col("kb")
+    differ = _differ(a, b, 0)
+    for i in range(1, SKETCH_BITS // 64):
+        differ = differ + _differ(a, b, i)
+    return differ * F.lit(100 + percent) <= (F.col("na") + F.col("nb")) * F.lit(100 - percent)
+
+
 def _possible(percent: int) -> Column:
     """Whether sizes (na, nb) and signatures (sa, sb) of a pair (a, b) allow the threshold."""
     sizes = F.lit(100) * F.least("na", "nb") >= F.lit(percent) * F.greatest("na", "nb")
@@ -147,17 +175,21 @@ def _likely(pairs: DataFrame, percent: int) -> DataFrame:
     return _ordered(pairs.where(_possible(percent)))
 
 
-def confirmed(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The ``pairs`` (a, b) whose full shingle sets reach the threshold."""
-    pairs = staged(pairs, "pairs")
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("__id")).distinct()
+def _of_documents(docs: DataFrame, ids: DataFrame, words: int, made, column: str) -> DataFrame:
+    """(id, ``column``): ``made`` of the shingle set of each document listed in ``ids`` (__id)."""
     wanted = docs.join(bounded_broadcast(ids, ids.count()), docs["doc_id"] == ids["__id"], "left_semi")
 
     def run(ids, texts):
-        return pd.DataFrame({"id": [int(i) for i in ids],
-                             "shingles": [shingle_hashes(t, words).view(np.int64) for t in texts]})
+        return pd.DataFrame({"id": [int(i) for i in ids], column: [made(shingle_hashes(t, words)) for t in texts]})
+
+    return staged(per_text(wanted, run, f"id long, {column} array<long>").dropDuplicates(["id"]), column)
+
 
-    sets = staged(per_text(wanted, run, "id long, shingles array<long>").dropDuplicates(["id"]), "sets")
+def confirmed(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
+    """The ``pairs`` (a, b) whose full shingle sets reach the threshold."""
+    pairs = staged(pairs, "pairs")
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("__id")).distinct()
+    sets = _of_documents(docs, ids, words, lambda s: s.view(np.int64), "shingles")
     left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("x"))
     right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("y"))
     both = F.size(F.array_intersect("x", "y"))
@@ -179,16 +211,16 @@ def _across(inside: DataFrame, keys: list[str], last: str, shared: int, percent:
     all.  A pair is made once, in the bucket before whose band ``last`` it shares ``shared`` bands."""
     probes = inside.where("comp <> largest").select(
         *keys, F.col("rep").alias("a"), F.col("n").alias("na"), F.col("sig").alias("sa"), F.col("comp").alias("ca"),
-        F.col("bands").alias("xa"))
+        F.col("bands").alias("xa"), F.col("sketch").alias("ka"))
     others = inside.select(*keys, F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("sig").alias("sb"),
-                           F.col("comp").alias("cb"), F.col("bands").alias("xb"), "largest")
+                           F.col("comp").alias("cb"), F.col("bands").alias("xb"), F.col("sketch").alias("kb"), "largest")
     p, o = probes.alias("p"), others.alias("o")
     same = [F.col(f"p.{k}") == F.col(f"o.{k}") for k in keys]
     before = F.size(F.filter(F.sequence(F.lit(0), F.lit(BANDS - 1)),
                              lambda k: (k < F.col(f"p.{last}")) & (F.get(F.col("xa"), k) == F.get(F.col("xb"), k))))
     once = F.expr("ca <> cb and (cb = largest or a < b)")
     on = same[0]
-    for condition in (*same[1:], once, _possible(percent), before == shared):
+    for condition in (*same[1:], once, _possible(percent), _sketches_allow(percent), before == shared):
         on = on & condition
     return _ordered(p.join(o, on).select("a", "b"))
 
@@ -235,7 +267,9 @@ def near_duplicates(docs: DataFrame, words: int = 4, percent: int = PERCENT,
 
     now = _labelled(members, labels)
     divided = staged(_divided(now, ["band", "key"]).select("band", "key", "largest", "outside"), "divided")
-    inside = staged(now.join(divided, ["band", "key"]).join(reps.select("rep", "bands"), "rep"), "inside")
+    inside = staged(now.join(divided, ["band", "key"]), "inside")
+    sketches = _of_documents(docs, inside.select(F.col("rep").alias("__id")).distinct(), words, parity_sketch, "sketch")
+    inside = inside.join(sketches.withColumnRenamed("id", "rep"), "rep").join(reps.select("rep", "bands"), "rep")
     pairs = _across(inside.where(F.col("outside") <= large_bucket), ["band", "key"], "band", 0, percent)
     second = (inside.where(F.col("outside") > large_bucket).drop("largest", "outside")
               .select("*", F.posexplode("bands").alias("band2", "key2")).where("band2 > band"))
