@@ -22,56 +22,60 @@ def _as_object(v: Column) -> Column:
     return F.try_variant_get(v, "$", _VARIANT_MAP)
 
 
-def _path(key: str) -> str:
-    return "$['" + key.replace("'", "\\'") + "']"
+def _child_text(v: Column, key: str) -> Column:
+    """Text of a child of a variant; paths know no escapes, so quoted keys go through a map."""
+    if "'" in key or "\\" in key:
+        return F.try_variant_get(_as_object(v)[F.lit(key)], "$", "string")
+    return F.try_variant_get(v, f"$['{key}']", "string")
 
 
-def discover_keys(records: DataFrame, record_col: str = "record") -> list[str]:
-    """Column names of the one-level flattening, in first-appearance order.
+def discover_keys(records: DataFrame, record_col: str = "record") -> list[tuple[str, str | None]]:
+    """(key, child) of the one-level flattening, in first-appearance order.
 
-    Objects contribute ``parent.child`` names, everything else its own name.  The
-    scan is an aggregate with partial combining, so only the distinct names (a
-    schema's worth of rows) reach the driver.
+    Objects contribute one pair per child, everything else (key, None); a key may
+    itself hold dots, so the two parts stay apart.  The scan is an aggregate with
+    partial combining, so only the distinct pairs (a schema's worth of rows) reach
+    the driver.
     """
     top = F.from_json(F.col(record_col), _VARIANT_MAP)
     pairs = records.select(F.posexplode(top).alias("pos", "k", "v"))
     sub = _as_object(F.col("v"))
-    names = pairs.select(
-        "pos",
-        F.when(sub.isNotNull(),
-               F.transform(F.map_keys(sub), lambda s: F.concat(F.col("k"), F.lit("."), s)))
-         .otherwise(F.array(F.col("k"))).alias("names"))
-    flat = names.select("pos", F.posexplode("names").alias("sub_pos", "name"))
-    rows = (flat.groupBy("name")
+    children = F.when(sub.isNotNull(), F.map_keys(sub)).otherwise(F.array(F.lit(None).cast("string")))
+    flat = pairs.select("pos", "k", F.posexplode(children).alias("sub_pos", "child"))
+    rows = (flat.groupBy("k", "child")
             .agg(F.min(F.struct("pos", "sub_pos")).alias("first"))
             .collect())
-    rows.sort(key=lambda r: (r["first"]["pos"], r["first"]["sub_pos"], r["name"]))
-    return [r["name"] for r in rows]
+    rows.sort(key=lambda r: (r["first"]["pos"], r["first"]["sub_pos"], r["k"], r["child"] or ""))
+    return [(r["k"], r["child"]) for r in rows]
 
 
-def flatten_one_level(records: DataFrame, names: list[str] | None = None,
+def flatten_one_level(records: DataFrame, keys: list[tuple[str, str | None]] | None = None,
                       record_col: str = "record") -> DataFrame:
     """JSON record text -> one text column per key; objects one level deep (3.1, 3.2).
 
     Records are parsed once into a map of variants.  Scalars become their text
     form, objects nested deeper than one level and arrays stay JSON text, JSON
     null becomes null.  A child path on a value that is not an object (a string
-    that merely looks like one, an array) is null.  Other columns are kept.
+    that merely looks like one, an array) is null.  A key that is an object in some
+    records and a scalar in others has a column of its own, null for the objects,
+    beside those of its children.  Keys with dots are taken whole; should one share
+    its name with a child column, the first value found is kept.  Other columns are kept.
     """
-    if names is None:
-        names = discover_keys(records, record_col)
+    if keys is None:
+        keys = discover_keys(records, record_col)
     top = F.from_json(F.col(record_col), _VARIANT_MAP)
     keep = [c for c in records.columns if c != record_col]
     staged = records.select(*keep, top.alias("_m"))
-    parents = {n.split(".", 1)[0] for n in names if "." in n}
-    cols = []
-    for n in names:
-        if "." in n and n.split(".", 1)[0] in parents and n not in parents:
-            p, child = n.split(".", 1)
-            cols.append(F.try_variant_get(F.col("_m")[p], _path(child), "string").alias(n))
+    parents = {k for k, child in keys if child is not None}
+    values: dict[str, list[Column]] = {}
+    for k, child in keys:
+        v = F.col("_m")[F.lit(k)]
+        if child is not None:
+            values.setdefault(f"{k}.{child}", []).append(_child_text(v, child))
         else:
-            cols.append(F.try_variant_get(F.col("_m")[n], "$", "string").alias(n))
-    return staged.select(*keep, *cols)
+            text = F.try_variant_get(v, "$", "string")
+            values.setdefault(k, []).append(F.when(_as_object(v).isNull(), text) if k in parents else text)
+    return staged.select(*keep, *[F.coalesce(*found).alias(n) for n, found in values.items()])
 
 
 def stringify_columns(df: DataFrame, exclude: tuple[str, ...] = ()) -> DataFrame:

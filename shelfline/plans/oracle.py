@@ -273,14 +273,21 @@ SELECT DISTINCT d FROM (
 
 # ── 7.x joins ────────────────────────────────────────────────────────────────
 oracle("sales_consolidated", S.consolidated())
+def _both_days(history, columns):
+    return " UNION ALL ".join(f"SELECT {columns} FROM ({history(day)}) d" for day in (1, 2))
+
+
+_SALES = _both_days(S.sales_history, "cart_id, product_id, customer_id, load_date")
 oracle("sales_join_products", f"""
-SELECT v.cart_id, v.product_id, p.category, p.brand
-FROM ({S.sales_history(2)}) v
-LEFT JOIN ({S.products_history(2)}) p ON p.product_id = v.product_id AND p.load_date = v.load_date""")
+SELECT v.cart_id, v.product_id, v.load_date, p.category, p.brand
+FROM ({_SALES}) v
+LEFT JOIN ({_both_days(S.products_history, "product_id, load_date, category, brand")}) p
+  ON p.product_id = v.product_id AND p.load_date = v.load_date""")
 oracle("sales_join_customers", f"""
-SELECT v.cart_id, v.product_id, v.customer_id, c.full_name AS customer_name, c.city
-FROM ({S.sales_history(2)}) v
-LEFT JOIN ({S.customers_history(2)}) c ON c.customer_id = v.customer_id AND c.load_date = v.load_date""")
+SELECT v.cart_id, v.product_id, v.load_date, v.customer_id, c.full_name AS customer_name, c.city
+FROM ({_SALES}) v
+LEFT JOIN ({_both_days(S.customers_history, "customer_id, load_date, full_name, city")}) c
+  ON c.customer_id = v.customer_id AND c.load_date = v.load_date""")
 oracle("join_completeness", "\nUNION ALL\n".join(f"""
 SELECT DATE '{dt.day_date(day)}' AS load_date, count(*) AS n_rows, count(category) AS n_with_product,
        count(customer_name) AS n_with_customer

@@ -30,11 +30,19 @@ PIPELINE = "retail_daily"
 PARALLEL_JOBS = 4   # independent per-entity jobs submitted together from driver threads
 
 
-def _parallel(fn, items, workers: int = PARALLEL_JOBS) -> list:
+def _parallel(fn, items, workers: int = PARALLEL_JOBS, done=None) -> list:
     """Run ``fn`` over independent items from driver threads; Spark schedules the
     jobs side by side.  Results keep the items' order; the first error is raised
-    after every item has finished."""
+    after every item has finished.  ``done(item, result)`` is called for each item
+    that succeeds, whatever becomes of the others."""
     items = list(items)
+    if done is not None:
+        run = fn
+
+        def fn(x):
+            result = run(x)
+            done(x, result)
+            return result
     if workers <= 1 or len(items) <= 1:
         return [fn(x) for x in items]
     from concurrent.futures import ThreadPoolExecutor
@@ -123,12 +131,12 @@ def clean(spark: SparkSession, lk: L.Lake, bronze: dict[str, str], ds: str,
         if entity == "sales":
             keep = tuple(c for c in ("date", "_source_file", "_ord") if c in b.columns)
             df = carts.explode_cart_lines(b, keep=keep)
-            df = df.withColumn("_order", _order("_source_file", "_ord", "line_pos"))
+            df = df.withColumn("_order", _order("_ord", "line_pos"))
             df = df.drop("_source_file", "_ord", "line_pos")
         else:
             df = conform.rename_allowlist(b, {**config.RENAME[entity],
                                               "_source_file": "_source_file", "_ord": "_ord"})
-            df = df.withColumn("_order", _order("_source_file", "_ord")).drop("_source_file", "_ord")
+            df = df.withColumn("_order", _order("_ord")).drop("_source_file", "_ord")
         df = conform.conform_types(df)
         absent = [f for f in schemas.SILVER[entity].fields if f.name not in df.columns]
         df = df.withColumns({f.name: F.lit(None).cast(f.dataType) for f in absent}) if absent else df
@@ -189,12 +197,14 @@ def validate(spark: SparkSession, lk: L.Lake, enriched: dict[str, DataFrame], ds
 
 
 # ── 04 history loads ─────────────────────────────────────────────────────────
-def load_history(spark: SparkSession, lk: L.Lake, validated: dict[str, str], ds: str) -> dict[str, int]:
+def load_history(spark: SparkSession, lk: L.Lake, validated: dict[str, str], ds: str,
+                 done=None) -> dict[str, int]:
+    """Rows loaded per entity; ``done(entity, rows)`` is called as each load succeeds."""
     def one(item):
         e, p = item
         return e, history.load_day(spark, spark.read.parquet(p), lk.history(e), e, ds, p)
 
-    return dict(_parallel(one, validated.items()))
+    return dict(_parallel(one, validated.items(), done=done and (lambda _, loaded: done(*loaded))))
 
 
 # ── 05 fact ──────────────────────────────────────────────────────────────────
@@ -342,21 +352,21 @@ def run_day(spark: SparkSession, lake_root: str, ds: str, records: dict[str, Dat
             for df in held:
                 df.unpersist()
         results["validate"] = validated
-        for e, n in load_history(spark, lk, validated, ds).items():
-            results[f"history_{e}"] = n
+        load_history(spark, lk, validated, ds, lambda e, n: results.update({f"history_{e}": n}))
         results["fact"] = build_fact(spark, lk, ds, fact_bucket_width)
         # the four keyed dimensions are independent; the calendar reads the fact
         keyed = [d for d in DIMENSIONS if d != "date"]
-        for d, n in zip(keyed, _parallel(lambda d: build_dimension(spark, lk, d, ds), keyed)):
-            results[f"dim_{d}"] = n
+        _parallel(lambda d: build_dimension(spark, lk, d, ds), keyed,
+                  done=lambda d, n: results.update({f"dim_{d}": n}))
         results["dim_date"] = build_dimension(spark, lk, "date", ds)
     except BaseException as exc:  # noqa: BLE001 - audit runs whatever failed
         error = exc
     try:
         record_run(spark, lk, ds, run_id, results)
-    except RuntimeError:
+    except Exception:  # noqa: BLE001 - the failure of the run itself comes first
         if error is None:
             raise
+        log.exception("audit of the failed run %s", run_id)
     if error is not None:
         raise error
     return results
@@ -382,6 +392,6 @@ def land_envelopes(spark: SparkSession, lake_root: str, documents: dict[str, str
         if entity == "customers":
             recs = env.privacy_projection(recs, config.CUSTOMER_SOURCE_FIELDS)
         dest = L.partition_dir(lk.raw(entity), ds)
-        recs.select("record").write.mode("overwrite").text(dest)
+        env.in_source_order(recs).select("record").write.mode("overwrite").text(dest)
         out[entity] = dest
     return out

@@ -579,22 +579,27 @@ def q_sales_consolidated(spark, sf_dir):
     return marts.consolidate_sales(sales, products, customers, dt.RUN_DATE)
 
 
+def _both_days(spark, sf_dir, entity):
+    return _hist(spark, sf_dir, entity, 1).unionByName(_hist(spark, sf_dir, entity, 2))
+
+
 @query("sales_join_products")
 def q_sales_join_products(spark, sf_dir):
-    """Day 2 sales left-joined to day 2 products (some products vanished that day)."""
-    v = _hist(spark, sf_dir, "sales", 2)
-    p = _hist(spark, sf_dir, "products", 2).select("product_id", "load_date", "category", "brand")
+    """Sales of both days left-joined to their day's products (some vanished on day 2)."""
+    v = _both_days(spark, sf_dir, "sales")
+    p = _both_days(spark, sf_dir, "products").select("product_id", "load_date", "category", "brand")
     return v.join(p, ["product_id", "load_date"], "left").select(
-        "cart_id", "product_id", "category", "brand")
+        "cart_id", "product_id", "load_date", "category", "brand")
 
 
 @query("sales_join_customers")
 def q_sales_join_customers(spark, sf_dir):
-    v = _hist(spark, sf_dir, "sales", 2)
-    c = _hist(spark, sf_dir, "customers", 2).select(
+    """Sales of both days left-joined to their day's customers."""
+    v = _both_days(spark, sf_dir, "sales")
+    c = _both_days(spark, sf_dir, "customers").select(
         "customer_id", "load_date", F.col("full_name").alias("customer_name"), "city")
     return v.join(c, ["customer_id", "load_date"], "left").select(
-        "cart_id", "product_id", "customer_id", "customer_name", "city")
+        "cart_id", "product_id", "load_date", "customer_id", "customer_name", "city")
 
 
 @query("join_completeness")

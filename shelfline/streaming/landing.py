@@ -33,7 +33,7 @@ def _land_batch(entity: str, raw_root: str, default_ds: str):
             recs = env.privacy_projection(recs, config.CUSTOMER_SOURCE_FIELDS)
         day = F.coalesce(F.nullif(F.regexp_extract("source_file", _DAY_IN_PATH, 1), F.lit("")),
                          F.lit(default_ds))
-        out = recs.select(day.alias("dt"), F.lit(batch_id).alias("batch"), "record")
+        out = env.in_source_order(recs).select(day.alias("dt"), F.lit(batch_id).alias("batch"), "record")
         (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy("dt", "batch").text(raw_root))
     return run

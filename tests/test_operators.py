@@ -13,6 +13,7 @@ from shelfline.functions import (age_band, full_name, lenient_date, lenient_doub
                                  lenient_long, trim_blank_null)
 from shelfline.operators import (audit, calendar, carts, conform, dedup, history, quality,
                                  upsert)
+from shelfline.plans import pipeline
 from shelfline.sinks import lake as L
 from shelfline.sources import envelope as env
 
@@ -286,3 +287,59 @@ def test_lenient_long_keeps_large_ids_exact(spark):
     df = spark.createDataFrame([(t,) for t in texts], "s string")
     got = [r[0] for r in df.select(lenient_long("s")).collect()]
     assert got == [9007199254740993, 1234567890123456789, 1234567890123456790, 12, None, 1000, None, None, None, None]
+
+
+def test_flatten_dotted_and_mixed_keys(spark):
+    recs = [json.dumps({"id": 1, "a.b": 5, "x.y": {"z": 3}, "m": {"k": "v"}}),
+            json.dumps({"id": 2, "m": "plain", "q": {"it's.x": True}})]
+    flat = conform.flatten_one_level(spark.createDataFrame([(r,) for r in recs], "record string"))
+    assert set(flat.columns) == {"id", "a.b", "x.y.z", "m", "m.k", "q.it's.x"}
+    r = {row["id"]: row for row in flat.collect()}
+    assert r["1"]["a.b"] == "5" and r["1"]["x.y.z"] == "3"
+    assert r["1"]["m"] is None and r["1"]["m.k"] == "v"
+    assert r["2"]["m"] == "plain" and r["2"]["m.k"] is None and r["2"]["q.it's.x"] == "true"
+
+
+def test_source_order_follows_batches_and_parts_as_numbers(spark, tmp_lake):
+    for name, price in (("batch=9/part-100000-a.txt", 3), ("batch=9/part-99999-a.txt", 2),
+                        ("batch=10/part-00000-a.txt", 4), ("part-00000-a.txt", 1)):
+        path = os.path.join(tmp_lake, name)
+        os.makedirs(os.path.dirname(path), exist_ok=True)
+        with open(path, "w") as f:
+            f.write(json.dumps({"id": 7, "price": price}) + "\n")
+    recs = env.read_raw_json(spark, tmp_lake).orderBy("ord").collect()
+    assert [json.loads(r["record"])["price"] for r in recs] == [1, 2, 3, 4]
+    kept = dedup.keep_last(env.read_raw_json(spark, tmp_lake).withColumn("k", F.lit(1)), ["k"], "ord")
+    assert json.loads(kept.first()["record"])["price"] == 4
+
+
+def test_landing_keeps_page_order(spark, tmp_lake):
+    pages = os.path.join(tmp_lake, "pages")
+    os.makedirs(pages)
+    for page, price, filler in (("page1", 1, 1), ("page2", 2, 400), ("page10", 3, 1)):
+        body = {"products": [{"id": 7, "price": price, "title": "t" * filler}]}
+        with open(os.path.join(pages, f"{page}.json"), "w") as f:
+            json.dump(body, f)
+    landed = pipeline.land_envelopes(spark, os.path.join(tmp_lake, "lake"), {"products": pages}, "2026-01-01")
+    recs = env.read_raw_json(spark, landed["products"]).orderBy("ord").collect()
+    assert [json.loads(r["record"])["price"] for r in recs] == [1, 2, 3]
+
+
+def test_listing_names_layers_below_the_root(spark, tmp_lake):
+    root = os.path.join(tmp_lake, "warehouse", "lake1")
+    os.makedirs(os.path.join(root, "raw"))
+    with open(os.path.join(root, "raw", "x.json"), "w") as f:
+        f.write("{}")
+    assert [(r["layer"], r["n_files"]) for r in env.lake_listing(spark, root).collect()] == [("raw", 1)]
+
+
+def test_parallel_reports_the_items_that_succeed():
+    def work(x):
+        if x == 2:
+            raise RuntimeError("no")
+        return x * 10
+
+    seen = {}
+    with pytest.raises(RuntimeError, match="no"):
+        pipeline._parallel(work, [1, 2, 3], done=lambda x, r: seen.update({x: r}))
+    assert seen == {1: 10, 3: 30}
