@@ -37,6 +37,8 @@ SAMPLE, ANCHORS, LEAST_BLOCK, MOST_BLOCK = 4096, 256, 1024, 8192
 RADII = (1.0, 0.5, 0.25, 0.125, 0.0625)
 #: Slack of the bounds against rounding.
 EPS = 1e-7
+#: Nodes on a side of a tile, and node pairs settled at a time.
+TILE, BATCH = 512, 1 << 15
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -115,15 +117,11 @@ class Block:
     def __init__(self, raw: bytes):
         with np.load(io.BytesIO(raw)) as z:
             self.ids, self.x = z["ids"], unit(z["x"])
+            self.short = self.x.astype(np.float32)
             self.levels = [(z[f"s{k}"], z[f"c{k}"], z[f"r{k}"]) for k in range(len(RADII))]
         n = len(self.ids)
         self.ends = [np.r_[s[1:], n] for s, _, _ in self.levels]
 
-    def nodes(self, level: int, lo: int, hi: int) -> np.ndarray:
-        """Nodes of a level within the row range [lo, hi)."""
-        starts = self.levels[level][0]
-        return np.arange(np.searchsorted(starts, lo), np.searchsorted(starts, hi))
-
 
 class Links:
     """Counts per row and a forest of links over the rows of two blocks."""
@@ -177,43 +175,86 @@ class Links:
         return ids[at], self.counts[at], ids[roots] if len(roots) else ids[:0]
 
 
-def traverse(a: Block, b: Block, cosine: float = COSINE) -> Links:
-    """Dual traversal of the trees of two blocks (or of one with itself)."""
-    t = float(np.sqrt(2.0 - 2.0 * cosine))
-    links = Links(a, b)
-    work = [(0, (0, len(a.ids)), (0, len(b.ids)))]
-    while work:
-        level, ia, ib = work.pop()
-        if level == len(RADII):
-            _compare(links, ia, ib, cosine)
-            continue
+class Traversal:
+    """Dual traversal of the trees of two blocks (or of one with itself), many node pairs at a time.
+
+    Wide fans of children are met in tiles of a single-precision product with the bounds
+    loosened by its rounding; every pair that stays is settled in double precision.  Pairs
+    are handled in batches of ``BATCH``, depth first, so memory does not follow the links.
+    """
+
+    def __init__(self, a: Block, b: Block, cosine: float):
+        self.a, self.b, self.cosine = a, b, cosine
+        self.t = float(np.sqrt(2.0 - 2.0 * cosine))
+        self.slack = 1e-6 + 1.2e-7 * a.x.shape[1]
+        self.links = Links(a, b)
+
+    def run(self) -> Links:
+        self.tiles(0, (0, len(self.a.levels[0][0])), (0, len(self.b.levels[0][0])), self.links.same)
+        return self.links
+
+    def tiles(self, level: int, na: tuple[int, int], nb: tuple[int, int], own: bool) -> None:
+        """All pairs of two node ranges of a level (each once if they are one range)."""
+        (_, ca, ra), (_, cb, rb) = self.a.levels[level], self.b.levels[level]
+        for i in range(na[0], na[1], TILE):
+            rows = slice(i, min(i + TILE, na[1]))
+            left, reach = self.a.short[ca[rows]], (self.t + EPS + ra[rows]).astype(np.float32)
+            for j in range(i if own else nb[0], nb[1], TILE):
+                cols = slice(j, min(j + TILE, nb[1]))
+                apart = reach[:, None] + rb[cols].astype(np.float32)
+                apart *= apart
+                apart *= np.float32(0.5)  # centres d apart have the product 1 - d * d / 2
+                apart += left @ self.b.short[cb[cols]].T
+                p, q = np.nonzero(apart >= np.float32(1.0 - self.slack))
+                p, q = p + i, q + j
+                if own:
+                    p, q = p[p <= q], q[p <= q]
+                for k in range(0, len(p), BATCH):
+                    self.settle(level, p[k:k + BATCH], q[k:k + BATCH])
+
+    def settle(self, level: int, p: np.ndarray, q: np.ndarray) -> None:
+        """Drop, link or descend into the pairs of nodes p of a and q of b."""
+        a, b, links = self.a, self.b, self.links
         (sa, ca, ra), (sb, cb, rb) = a.levels[level], b.levels[level]
-        na, nb = a.nodes(level, *ia), b.nodes(level, *ib)
-        d = distances(a.x[ca[na]], b.x[cb[nb]])
-        reach = ra[na][:, None] + rb[nb][None, :]
-        near = d <= t + reach + EPS
-        if links.same and ia == ib:
-            near = np.triu(near)
-        p, q = np.nonzero(near)
-        if not len(p):
-            continue
-        one = (a.ends[level][na[p]] - sa[na[p]] == 1) & (b.ends[level][nb[q]] - sb[nb[q]] == 1)
-        if one.any():  # two single vectors: settled here, in double precision
-            i, j = sa[na[p[one]]], sb[nb[q[one]]]
-            keep = (i != j) if links.same else np.ones(len(i), bool)
-            i, j = i[keep], j[keep]
-            linked = np.einsum("ij,ij->i", a.x[i], b.x[j]) >= cosine
-            links.pairs(i[linked], j[linked])
-        for u, v in zip(p[~one].tolist(), q[~one].tolist()):
-            ru = (int(sa[na[u]]), int(a.ends[level][na[u]]))
-            rv = (int(sb[nb[v]]), int(b.ends[level][nb[v]]))
-            own = links.same and ru == rv
-            widest = 2 * ra[na[u]] if own else d[u, v] + reach[u, v]
-            if widest <= t - EPS:
-                links.all_pairs(ru, rv)
-            else:
-                work.append((level + 1, ru, rv))
-    return links
+        product = np.einsum("ij,ij->i", a.x[ca[p]], b.x[cb[q]])
+        d, reach = np.sqrt(np.maximum(0.0, 2.0 - 2.0 * product)), ra[p] + rb[q]
+        own = (p == q) if links.same else np.zeros(len(p), bool)
+        near = own | (d <= self.t + reach + EPS)
+        a0, a1, b0, b1 = sa[p], a.ends[level][p], sb[q], b.ends[level][q]
+        one = (a1 - a0 == 1) & (b1 - b0 == 1)  # two single vectors
+        linked = one & ~own & (product >= self.cosine)
+        links.pairs(a0[linked], b0[linked])
+        whole = near & ~one & (np.where(own, 2 * ra[p], d + reach) <= self.t - EPS)
+        for k in np.flatnonzero(whole).tolist():
+            links.all_pairs((int(a0[k]), int(a1[k])), (int(b0[k]), int(b1[k])))
+        rest = np.flatnonzero(near & ~one & ~whole)
+        if level + 1 < len(RADII):
+            self.descend(level + 1, a0[rest], a1[rest], b0[rest], b1[rest], own[rest])
+        else:
+            for k in rest.tolist():
+                _compare(links, (int(a0[k]), int(a1[k])), (int(b0[k]), int(b1[k])), self.cosine)
+
+    def descend(self, level: int, a0, a1, b0, b1, own) -> None:
+        """The pairs of child nodes of pairs of row ranges."""
+        sa, sb = self.a.levels[level][0], self.b.levels[level][0]
+        la, lb = np.searchsorted(sa, a0), np.searchsorted(sb, b0)
+        wide, high = np.searchsorted(sa, a1) - la, np.searchsorted(sb, b1) - lb
+        size = wide * high
+        for k in np.flatnonzero(size > BATCH).tolist():
+            self.tiles(level, (int(la[k]), int(la[k] + wide[k])), (int(lb[k]), int(lb[k] + high[k])), bool(own[k]))
+        few = np.flatnonzero(size <= BATCH)
+        batch = np.cumsum(size[few]) // BATCH
+        for some in np.split(few, np.flatnonzero(np.diff(batch)) + 1):
+            parent = np.repeat(some, size[some])
+            at = np.arange(len(parent)) - np.repeat(np.cumsum(size[some]) - size[some], size[some])
+            p, q = la[parent] + at // high[parent], lb[parent] + at % high[parent]
+            once = ~own[parent] | (p <= q)
+            if once.any():
+                self.settle(level, p[once], q[once])
+
+
+def traverse(a: Block, b: Block, cosine: float = COSINE) -> Links:
+    return Traversal(a, b, cosine).run()
 
 
 def _compare(links: Links, ia: tuple[int, int], ib: tuple[int, int], cosine: float) -> None:

@@ -190,6 +190,20 @@ def test_cover_tree_equals_brute_force(spark):
     assert covertree.near_duplicates(frame.limit(0)).count() == 0
 
 
+def test_traversal_of_dense_and_scattered_vectors_equals_the_product():
+    rng = np.random.default_rng(0)
+    spread = rng.choice([0.0, 0.05, 0.2, 0.4, 3.0], (1500, 1))
+    x = np.repeat(rng.normal(size=(5, 16)), 300, axis=0) + rng.normal(size=(1500, 16)) * spread
+    a = covertree.Block(covertree.pack_block(np.arange(1500), x))
+    b = covertree.Block(covertree.pack_block(np.arange(1500, 2250), x[::2] + 0.01))
+    for other in (a, b):
+        near = a.x @ other.x.T >= covertree.COSINE
+        if other is a:
+            np.fill_diagonal(near, False)
+        wanted = near.sum(axis=1) if other is a else np.r_[near.sum(axis=1), near.sum(axis=0)]
+        assert (covertree.traverse(a, other).counts == wanted).all()
+
+
 def test_scans_keep_every_row(spark, docs, empty):
     labels = spark.createDataFrame([(i, int(i % 3 > 0), int(i % 4 == 0)) for i in range(40)] + [(None, 1, 1), (3, None, None)],
                                    "doc_id long, quality int, toxic int")
