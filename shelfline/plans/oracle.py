@@ -1,8 +1,4 @@
-"""Oracle SQL registry, keyed like ``shelfline.plans.queries.REGISTRY``.
-
-Only ``lake_listing`` has no entry: file counts depend on how Spark splits its
-output, which SQL over the tables cannot know.
-"""
+"""Oracle SQL registry, keyed like ``shelfline.plans.queries.REGISTRY``."""
 
 from __future__ import annotations
 
@@ -94,6 +90,11 @@ SELECT l_returnflag, l_linestatus, count(*) AS n_lines,
        sum(CAST(l_quantity AS DECIMAL(18,2))) AS sum_qty
 FROM lineitem GROUP BY 1, 2""")
 
+oracle("lake_listing", f"""
+SELECT layer, true AS has_files, true AS has_bytes, count(DISTINCT load_date) AS n_days
+FROM (SELECT load_date FROM ({S.HISTORY["products"](1)}) a
+      UNION ALL SELECT load_date FROM ({S.HISTORY["products"](2)}) b) d, (VALUES ('raw'), ('silver')) l(layer)
+GROUP BY layer""")
 oracle("day_partition_scan", f"SELECT * EXCLUDE (load_date) FROM ({S.sales_history(2)}) x")
 oracle("history_day_scan", S.sales_history(1))
 
@@ -206,11 +207,18 @@ oracle("rule_required", f"""
 SELECT customer_id, (customer_id IS NULL OR last_name IS NULL OR email IS NULL) AS invalid
 FROM ({S.customers_silver()}) c""")
 oracle("rule_sales", f"""
-SELECT cart_id, product_id, NOT ({S.VALID['sales']}) AS invalid FROM ({S.sales_silver()}) s""")
+SELECT cart_id, product_id, NOT ({S.VALID['sales']}) AS invalid
+FROM (SELECT * REPLACE (CASE WHEN cart_id % 11 = 0 THEN 0 ELSE quantity END AS quantity,
+                        CASE WHEN product_id % 13 = 0 THEN -price ELSE price END AS price)
+      FROM ({S.sales_silver()}) x) s""")
 oracle("rule_products", f"""
-SELECT product_id, NOT ({S.VALID['products']}) AS invalid FROM ({S.products_silver()}) p""")
+SELECT product_id, NOT ({S.VALID['products']}) AS invalid
+FROM (SELECT * REPLACE (CASE WHEN product_id % 17 = 0 THEN NULL WHEN product_id % 13 = 0 THEN -price
+                             ELSE price END AS price) FROM ({S.products_silver()}) x) p""")
 oracle("rule_stock", f"""
-SELECT product_id, NOT ({S.VALID['stock']}) AS invalid FROM ({S.stock_silver()}) s""")
+SELECT product_id, NOT ({S.VALID['stock']}) AS invalid
+FROM (SELECT * REPLACE (CASE WHEN product_id % 13 = 0 THEN -quantity WHEN product_id % 17 = 0 THEN 0
+                             ELSE quantity END AS quantity) FROM ({S.stock_silver()}) x) s""")
 oracle("rule_customers", f"""
 SELECT customer_id, email, NOT ({S.VALID['customers']}) AS invalid FROM ({S.customers_silver()}) c""")
 oracle("quality_split_valid", S.valid("customers"))

@@ -143,13 +143,15 @@ def q_history_day_scan(spark, sf_dir):
 
 @query("lake_listing")
 def q_lake_listing(spark, sf_dir):
-    """Files and bytes per lake layer, without reading file contents."""
+    """Files, bytes and days per lake layer, without reading file contents: two landed days."""
     lk = L.Lake(scratch_path(spark, "listing"))
-    L.land_json(dt.product_records(spark, sf_dir), lk.raw("products"), dt.RUN_DATE)
-    L.write_day(_hist(spark, sf_dir, "products"), lk.silver("validated", "products"), dt.RUN_DATE)
+    for day in (1, 2):
+        L.land_json(dt.product_records(spark, sf_dir, day), lk.raw("products"), dt.day_date(day))
+        L.write_day(_hist(spark, sf_dir, "products", day), lk.silver("validated", "products"), dt.day_date(day))
     listing = env.lake_listing(spark, lk.root)
-    return listing.select("layer", (F.col("n_files") > 0).alias("has_files"),
-                          (F.col("n_bytes") > 0).alias("has_bytes"))
+    # the number of files and bytes is Spark's to choose, their presence and the days are not
+    return listing.select("layer", (F.col("n_files") >= F.col("n_days")).alias("has_files"),
+                          (F.col("n_bytes") > 0).alias("has_bytes"), "n_days")
 
 
 # ── 2.x sinks ────────────────────────────────────────────────────────────────
@@ -401,19 +403,28 @@ def q_rule_required(spark, sf_dir):
 
 @query("rule_sales")
 def q_rule_sales(spark, sf_dir):
-    v = _silver(spark, sf_dir, "sales")
+    """Sales rule; every 11th cart has a quantity of zero and every 13th product a negative price."""
+    v = (_silver(spark, sf_dir, "sales")
+         .withColumn("quantity", F.when(F.col("cart_id") % 11 == 0, F.lit(0)).otherwise(F.col("quantity")))
+         .withColumn("price", F.when(F.col("product_id") % 13 == 0, -F.col("price")).otherwise(F.col("price"))))
     return v.select("cart_id", "product_id", quality.invalid_flag("sales").alias("invalid"))
 
 
 @query("rule_products")
 def q_rule_products(spark, sf_dir):
+    """Product rule; every 13th product has a negative price, every 17th none."""
     p = _silver(spark, sf_dir, "products")
+    p = p.withColumn("price", F.when(F.col("product_id") % 17 == 0, None)
+                     .when(F.col("product_id") % 13 == 0, -F.col("price")).otherwise(F.col("price")))
     return p.select("product_id", quality.invalid_flag("products").alias("invalid"))
 
 
 @query("rule_stock")
 def q_rule_stock(spark, sf_dir):
+    """Stock rule; every 13th product has a negative quantity, every 17th a quantity of zero (allowed)."""
     s = _silver(spark, sf_dir, "stock")
+    s = s.withColumn("quantity", F.when(F.col("product_id") % 13 == 0, -F.col("quantity"))
+                     .when(F.col("product_id") % 17 == 0, F.lit(0)).otherwise(F.col("quantity")))
     return s.select("product_id", quality.invalid_flag("stock").alias("invalid"))
 
 
