@@ -171,8 +171,12 @@ def train(paragraphs: list[str], seed: int = 7) -> LicenceModel:
 
 def fitted(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> LicenceModel:
     """Unknown paragraphs come from the first ``train_rows`` documents by hashed id."""
-    rows = (docs.select("doc_id", "text").where(F.col("text").isNotNull())
-            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_rows).collect())
+    first = [F.xxhash64("doc_id"), F.col("doc_id")]
+    texts = docs.select("doc_id", "text").where(F.col("text").isNotNull())
+    # ids are chosen before texts are read, so that no task sends texts that are not among the first
+    ids = texts.select("doc_id").orderBy(*first).limit(train_rows).select(F.col("doc_id").alias("__id")).distinct()
+    rows = (texts.join(F.broadcast(ids), F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
+            .orderBy(*first).limit(train_rows).collect())
     lines = sorted({line for r in rows for line in r["text"].split("\n")})
     rng = np.random.default_rng(3)
     return train([lines[i] for i in rng.permutation(len(lines))])
