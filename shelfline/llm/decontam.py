@@ -1,9 +1,10 @@
 """Benchmark decontamination by spaced seeds.
 
-A seed is a fixed mask over ten tokens that reads six of them and ignores the
-others, so a substituted token spoils only the windows that read it.  Items are
-indexed under every mask at every place; a document's windows take the masks in
-rotation, so neighbouring windows ignore different places at a third of the cost.
+A seed is a fixed mask over ten tokens that reads five of them and ignores the
+others, so a substituted token spoils only the seeds that read it.  Documents and
+items are indexed under every mask at every place.  The masks are chosen so that
+whatever tokens an accepted window has substituted, one seed inside it reads none of
+them: no overlap that the rule below accepts goes without a hit.
 Around every hit of the join the document and the item are laid side by side and an overlap is confirmed where
 a window of ``WINDOW`` tokens (the whole item if shorter) agrees in at least
 ``AGREE`` of its places.  DataFrame expressions only.
@@ -17,10 +18,11 @@ from pyspark.sql import functions as F
 from .common import bounded_broadcast, staged
 
 #: Token places that each mask reads, out of SPAN.
-MASKS = ((0, 1, 3, 4, 7, 9), (0, 2, 4, 5, 8, 9), (0, 1, 2, 5, 7, 9))
+MASKS = ((0, 2, 5, 8, 9), (1, 2, 3, 7, 9), (0, 4, 6, 7, 9), (0, 1, 3, 4, 5),
+         (1, 5, 6, 8, 9), (2, 4, 6, 7, 8), (0, 1, 2, 3, 8))
 SPAN = 10
 WINDOW, AGREE = 16, 0.75
-#: Benchmark tokens up to which its seeds are broadcast (three seeds of 32 bytes each).
+#: Benchmark tokens up to which its seeds are broadcast (a seed of 32 bytes for each mask).
 BROADCAST_TOKENS = 2_000_000
 
 
@@ -30,32 +32,15 @@ def token_hashes(text: Column) -> Column:
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def seed_hashes(tokens: Column, masks: list[int] | None = None) -> Column:
-    """Seeds of all windows: with ``masks`` the windows of each of them in turn; without,
-    one seed per window, its mask taken in rotation."""
-    windows = F.sequence(F.lit(0), F.size(tokens) - SPAN)
-    seed = lambda i, m: F.xxhash64(F.lit(m), *[F.get(tokens, i + p) for p in MASKS[m]])
-
-    def rotated(i: Column) -> Column:
-        turn = F.pmod(i, F.lit(len(MASKS)))
-        chosen = F.when(turn == 0, seed(i, 0))
-        for m in range(1, len(MASKS)):
-            chosen = chosen.when(turn == m, seed(i, m))
-        return chosen
-
-    def of_mask(m: int) -> Column:
-        return F.transform(windows, lambda i: seed(i, m))
-
-    found = F.transform(windows, rotated) if masks is None else F.concat(*[of_mask(m) for m in masks])
-    return F.when(F.size(tokens) >= SPAN, found).otherwise(F.array().cast("array<bigint>"))
-
-
-def _places(rows: DataFrame, key: str, at: str) -> DataFrame:
-    """(key, place, seed) of ``rows`` (key, windows, seeds).  The outer form keeps Spark from
-    computing all seeds once more in an inferred filter; the token array is not carried along."""
-    return (rows.select(key, "windows", F.posexplode_outer("seeds").alias("__n", "seed"))
-            .where(F.col("seed").isNotNull())
-            .select(key, F.pmod("__n", "windows").alias(at), "seed"))
+def _seeds(rows: DataFrame, key: str, tokens: str, at: str) -> DataFrame:
+    """(key, place, seed) of every window of ``rows`` (key, tokens) under every mask.  The outer
+    forms keep Spark from computing the tokens once more in an inferred filter; rows are
+    exploded and hashed in generated code, so the token array is not copied per window."""
+    windows = F.when(F.size(tokens) >= SPAN, F.sequence(F.lit(0), F.size(tokens) - SPAN))
+    placed = rows.select(key, tokens, F.explode_outer(windows).alias(at)).where(F.col(at).isNotNull())
+    read = placed.select(key, at, *[F.get(F.col(tokens), F.col(at) + k).alias(f"__{k}") for k in range(SPAN)])
+    seeds = F.array(*[F.xxhash64(F.lit(m), *[F.col(f"__{k}") for k in mask]) for m, mask in enumerate(MASKS)])
+    return read.select(key, at, F.explode_outer(seeds).alias("seed"))
 
 
 def agreement(doc: Column, item: Column, shift: Column, q: Column) -> Column:
@@ -81,13 +66,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, broadcast_tokens: int =
                    .select("item_id", token_hashes(F.col("text")).alias("item"))
                    .where(F.size("item") >= SPAN).withColumn("item_key", F.monotonically_increasing_id()), "items")
     tokens = items.agg(F.coalesce(F.sum(F.size("item")), F.lit(0))).first()[0]
-    windows = F.size("item") - (SPAN - 1)
-    seeds = _places(items.select("item_key", windows.alias("windows"),
-                                 seed_hashes(F.col("item"), list(range(len(MASKS)))).alias("seeds")), "item_key", "q")
+    seeds = _seeds(items, "item_key", "item", "q")
     docs = docs.select("doc_id", "text")
-    tokenised = docs.select("doc_id", token_hashes(F.col("text")).alias("doc"))
-    places = _places(tokenised.select("doc_id", (F.size("doc") - (SPAN - 1)).alias("windows"),
-                                      seed_hashes(F.col("doc")).alias("seeds")), "doc_id", "p")
+    places = _seeds(docs.select("doc_id", token_hashes(F.col("text")).alias("doc")), "doc_id", "doc", "p")
     hits = staged(places.join(bounded_broadcast(seeds, tokens, broadcast_tokens), "seed")
                   .select(F.col("doc_id").alias("hit_id"), "item_key", "p", "q").distinct(), "hits")
     ids = hits.select("hit_id").distinct()

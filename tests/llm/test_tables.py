@@ -116,6 +116,30 @@ def test_decontamination(spark, docs, empty):
     assert decontam.contaminated(empty, bench).count() == 0 and decontam.decontaminate(docs, bench.limit(0)).count() == docs.count()
 
 
+def test_decontamination_masks_meet_every_accepted_substitution():
+    for w in range(decontam.SPAN, decontam.WINDOW + 1):
+        for spoilt in itertools.combinations(range(w), w - math.ceil(decontam.AGREE * w)):
+            assert any(not {at + k for k in mask} & set(spoilt)
+                       for mask in decontam.MASKS for at in range(w - decontam.SPAN + 1)), (w, spoilt)
+
+
+def test_decontamination_finds_every_random_substitution(spark):
+    rng = np.random.default_rng(5)
+    items, rows = [], []
+    for n, spoilt in ((10, 1), (10, 2), (12, 2), (12, 3), (16, 2), (16, 3), (16, 4), (20, 4)):
+        for _ in range(40):
+            item = [f"i{len(items)}t{k}" for k in range(n)]
+            edited = list(item)
+            for at in rng.choice(min(n, 16), spoilt, replace=False):
+                edited[at] = "edited"
+            filler = [f"f{k}" for k in range(rng.integers(0, 9))]
+            rows.append((len(items), " ".join(filler + edited + ["end"])))
+            items.append((len(items), " ".join(item)))
+    found = decontam.contaminated(spark.createDataFrame(rows, "doc_id long, text string"),
+                                  spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r.doc_id, r.item_id) for r in found.collect()} == {(k, k) for k in range(len(items))}
+
+
 def test_mixing(docs, empty):
     got = mixing.mix_documents(docs).collect()
     assert sorted(map(tuple, got), key=str) == sorted(map(tuple, mixing.mix_documents(docs).collect()), key=str)
