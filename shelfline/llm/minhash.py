@@ -10,8 +10,7 @@
    pivot of its bucket, in later rounds only across components found so far.
    What is then still divided is paired exactly, the members outside the
    bucket's largest component against all others, each pair in its first shared
-   bucket only (large buckets are first split by a second band key, which a pair
-   over the threshold shares as well).
+   bucket only (in large buckets in blocks of those members, for the load alone).
    The first pivot of a bucket is its most central member, the one with the most
    companions over all its buckets.
 4. A pair's similarity is estimated from the packed signatures by bit counts,
@@ -42,8 +41,7 @@ BANDS = HASHES // ROWS
 PERCENT = 80
 #: The estimate must reach the threshold less this margin (over four standard errors).
 MARGIN = 0.14
-#: Members outside the largest component of a divided bucket, above which the bucket is split
-#: by a second band key.
+#: Members outside the largest component of a divided bucket that one block pairs with all of it.
 LARGE_BUCKET = 512
 PIVOT_ROUNDS = 2
 
@@ -198,29 +196,33 @@ def confirmed(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> Da
             .select("a", "b"))
 
 
-def _divided(members: DataFrame, keys: list[str]) -> DataFrame:
+def _divided(members: DataFrame) -> DataFrame:
     """Buckets whose members are in more than one component, with the largest component and
     the number of members outside it."""
-    per = members.groupBy(*keys, "comp").agg(F.count(F.lit(1)).alias("c"))
-    return (per.groupBy(*keys).agg(F.count(F.lit(1)).alias("comps"), (F.sum("c") - F.max("c")).alias("outside"),
-                                   F.max_by("comp", "c").alias("largest")).where("comps > 1"))
+    per = members.groupBy("band", "key", "comp").agg(F.count(F.lit(1)).alias("c"))
+    return (per.groupBy("band", "key").agg(F.count(F.lit(1)).alias("comps"), (F.sum("c") - F.max("c")).alias("outside"),
+                                           F.max_by("comp", "c").alias("largest")).where("comps > 1"))
 
 
-def _across(inside: DataFrame, keys: list[str], last: str, shared: int, percent: int) -> DataFrame:
+def _across(inside: DataFrame, percent: int, large_bucket: int) -> DataFrame:
     """Likely pairs across components: members outside their bucket's largest component against
-    all.  A pair is made once, in the bucket before whose band ``last`` it shares ``shared`` bands."""
+    all.  A pair is made once, in the bucket of the first band that it shares; the members
+    outside are dealt into blocks of about ``large_bucket``, each of which meets the whole bucket."""
+    blocks = F.greatest(F.lit(1), F.ceil(F.col("outside") / F.lit(max(1, large_bucket)))).cast("int")
     probes = inside.where("comp <> largest").select(
-        *keys, F.col("rep").alias("a"), F.col("n").alias("na"), F.col("sig").alias("sa"), F.col("comp").alias("ca"),
+        "band", "key", F.pmod(F.xxhash64("rep"), blocks).cast("int").alias("block"),
+        F.col("rep").alias("a"), F.col("n").alias("na"), F.col("sig").alias("sa"), F.col("comp").alias("ca"),
         F.col("bands").alias("xa"), F.col("sketch").alias("ka"))
-    others = inside.select(*keys, F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("sig").alias("sb"),
-                           F.col("comp").alias("cb"), F.col("bands").alias("xb"), F.col("sketch").alias("kb"), "largest")
+    others = inside.select(
+        "band", "key", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"),
+        F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("sig").alias("sb"),
+        F.col("comp").alias("cb"), F.col("bands").alias("xb"), F.col("sketch").alias("kb"), "largest")
     p, o = probes.alias("p"), others.alias("o")
-    same = [F.col(f"p.{k}") == F.col(f"o.{k}") for k in keys]
     before = F.size(F.filter(F.sequence(F.lit(0), F.lit(BANDS - 1)),
-                             lambda k: (k < F.col(f"p.{last}")) & (F.get(F.col("xa"), k) == F.get(F.col("xb"), k))))
-    once = F.expr("ca <> cb and (cb = largest or a < b)")
-    on = same[0]
-    for condition in (*same[1:], once, _possible(percent), _sketches_allow(percent), before == shared):
+                             lambda k: (k < F.col("p.band")) & (F.get(F.col("xa"), k) == F.get(F.col("xb"), k))))
+    on = F.col("p.band") == F.col("o.band")
+    for condition in (F.col("p.key") == F.col("o.key"), F.col("p.block") == F.col("o.block"),
+                      F.expr("ca <> cb and (cb = largest or a < b)"), _possible(percent), _sketches_allow(percent), before == 0):
         on = on & condition
     return _ordered(p.join(o, on).select("a", "b"))
 
@@ -266,16 +268,11 @@ def near_duplicates(docs: DataFrame, words: int = 4, percent: int = PERCENT,
         links, labels = _joined(docs, links, _likely(pairs, percent), words, percent)
 
     now = _labelled(members, labels)
-    divided = staged(_divided(now, ["band", "key"]).select("band", "key", "largest", "outside"), "divided")
+    divided = staged(_divided(now).select("band", "key", "largest", "outside"), "divided")
     inside = staged(now.join(divided, ["band", "key"]), "inside")
     sketches = _of_documents(docs, inside.select(F.col("rep").alias("__id")).distinct(), words, parity_sketch, "sketch")
     inside = inside.join(sketches.withColumnRenamed("id", "rep"), "rep").join(reps.select("rep", "bands"), "rep")
-    pairs = _across(inside.where(F.col("outside") <= large_bucket), ["band", "key"], "band", 0, percent)
-    second = (inside.where(F.col("outside") > large_bucket).drop("largest", "outside")
-              .select("*", F.posexplode("bands").alias("band2", "key2")).where("band2 > band"))
-    finer = ["band", "key", "band2", "key2"]
-    of_second = staged(_divided(second, finer).select(*finer, "largest"), "divided-again")
-    pairs = pairs.unionByName(_across(second.join(of_second, finer), finer, "band2", 1, percent)).distinct()
+    pairs = _across(inside, percent, large_bucket)
     links, labels = _joined(docs, links, pairs, words, percent)
 
     classes = (reps.select("f1", "f2", F.col("n").alias("n_shingles"), "rep")

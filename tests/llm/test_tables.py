@@ -89,6 +89,20 @@ def test_minhash_equals_brute_force(spark, docs, words, large, rounds):
             assert (r.n_shingles, r.component_id, r.kept) == (len(sets[r.doc_id]), comp[r.doc_id], comp[r.doc_id] == r.doc_id)
 
 
+@pytest.mark.parametrize("large", [0, 1, 512])
+def test_a_pair_that_shares_one_band_only_is_linked_in_any_bucket(spark, large):
+    rows, links = [], {}
+    for t, n, kept in ((2796, 76, 62), (4277, 43, 35)):
+        words = [f"a{t}x{k}" for k in range(n)]
+        pair = [" ".join(words), " ".join(words[:kept])]
+        a, b = (minhash.signature(minhash.shingle_hashes(x, 4)).reshape(minhash.BANDS, minhash.ROWS) for x in pair)
+        assert (a == b).all(axis=1).sum() == 1
+        links |= {len(rows): len(rows), len(rows) + 1: len(rows)}
+        rows += [(len(rows) + k, x) for k, x in enumerate(pair)]
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), large_bucket=large, pivot_rounds=0)
+    assert {r.doc_id: r.component_id for r in got.collect()} == links
+
+
 def test_keep_one_keeps_columns_and_rows(docs, empty):
     kept = minhash.keep_one(docs)
     ids = [r.doc_id for r in kept.collect()]
