@@ -40,6 +40,8 @@ ASSIGN_WORDS = ("passw", "secret", "token", "api")
 URL_ESCAPE = re.compile(r"%(?:25)*([0-9A-Fa-f]{2})")
 CODE_ESCAPE = re.compile(r"\\+(?:u([0-9A-Fa-f]{4})|x([0-9A-Fa-f]{2})|U([0-9A-Fa-f]{8}))")
 BASE64_RUN = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+#: The shortest text that a base pattern matches has twelve characters, all of them ASCII.
+LEAST_RUN = re.compile(rb"[\t\r\n\x20-\x7e]{12}")
 #: First bytes of compressed layers.
 MAGIC = ((b"\x1f\x8b", gzip.decompress), (b"BZh", bz2.decompress), (b"\xfd7zXZ\x00", lzma.decompress),
          (b"\x28\xb5\x2f\xfd", lambda b: zstandard.ZstdDecompressor().decompressobj().decompress(b)),
@@ -86,10 +88,9 @@ def _decoded(pieces: list[tuple[bytes | str, int, int]], layer: Layer) -> Layer:
                 to += 1
             raw = b"".join(p[0] for p in pieces[at:to])
             chars, i = [], 0
-            for c in raw.decode("utf-8", "replace"):
-                width = 1 if c == "�" else len(c.encode("utf-8"))
-                chars.append((c, at + i, min(at + i + width, to)))
-                i = min(i + width, to - at - 1)
+            for c in raw.decode("utf-8", "surrogateescape"):
+                chars.append((c, at + i, at + i + _width(c)))
+                i += _width(c)
             at = to
         for c, first, last in chars:
             text.append(c)
@@ -116,13 +117,15 @@ def _code_point(e: re.Match) -> str:
     return chr(n) if n <= 0x10FFFF and not 0xD800 <= n <= 0xDFFF else "�"
 
 
+def _width(c: str) -> int:
+    """Bytes of a decoded character; a byte that is not UTF-8 is one lone surrogate."""
+    return 1 if "\udc80" <= c <= "\udcff" else len(c.encode("utf-8"))
+
+
 def _readable(raw: bytes) -> str | None:
-    """The text of ``raw`` if it is UTF-8 without control characters other than blanks."""
-    try:
-        text = raw.decode("utf-8")
-    except UnicodeDecodeError:
-        return None
-    return text if text and all(c.isprintable() or c in "\t\r\n" for c in text) else None
+    """The text of ``raw``, other bytes as lone surrogates; None without a run of ASCII that a base
+    pattern, or a layer that holds one, could fill."""
+    return raw.decode("utf-8", "surrogateescape") if LEAST_RUN.search(raw) else None
 
 
 def _inflated(raw: bytes) -> bytes | None:
@@ -157,7 +160,7 @@ def _base64(layer: Layer) -> list[Layer]:
             continue
         starts, ends, at = [], [], 0
         for c in text:
-            first, last = at, at + len(c.encode("utf-8"))
+            first, last = at, at + _width(c)
             lo = m.start() + first * 8 // 6
             hi = m.start() + min(len(m.group()), -(-last * 8 // 6))
             place = layer.place(lo, max(hi, lo + 1))

@@ -80,6 +80,14 @@ def test_layers_are_unwrapped_and_mapped(wrapped, depth):
     assert kind == "assign" and found == depth and 7 <= start < end <= 7 + len(wrapped)
 
 
+@pytest.mark.parametrize("odd", [b"\xc2\xa0", b"\xef\xbb\xbf", b"\xe2\x80\x8d", b"\xc2\xad", b"\x0c", b"\x00", b"\xff", b"\xe2\x82"])
+def test_layers_with_odd_characters_are_scanned(odd):
+    raw = b"prix : 5" + odd + b"EUR, " + SECRET.encode() + b" fin" + odd
+    for inner in (raw, gzip.compress(raw), base64.b64encode(b"text" + odd + base64.b64encode(raw))):
+        text = "before " + base64.b64encode(inner).decode() + " after"
+        assert [s[2] for s in secrets.scan(text)[1]] == ["assign"]
+
+
 def test_fixpoint_ends_on_nested_escapes():
     text = "%" + "25" * 3000 + "41"
     assert secrets.scan(text) == (plain_secrets(text), [])
