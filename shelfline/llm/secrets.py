@@ -12,9 +12,7 @@ self-containing encodings end.
 from __future__ import annotations
 
 import base64
-import binascii
 import bz2
-import gzip
 import hashlib
 import lzma
 import re
@@ -40,12 +38,15 @@ ASSIGN_WORDS = ("passw", "secret", "token", "api")
 URL_ESCAPE = re.compile(r"%(?:25)*([0-9A-Fa-f]{2})")
 CODE_ESCAPE = re.compile(r"\\+(?:u([0-9A-Fa-f]{4})|x([0-9A-Fa-f]{2})|U([0-9A-Fa-f]{8}))")
 BASE64_RUN = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+#: Runs that go on over line breaks; possessive, so that a long run is read once.
+BASE64_LINES = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++(?:[\x20\t]*+\r?\n[\x20\t]*+[A-Za-z0-9+/_-]++)++={0,2}")
+BASE64_LETTER = re.compile(r"[A-Za-z0-9+/_-]")
 #: The shortest text that a base pattern matches has twelve characters, all of them ASCII.
 LEAST_RUN = re.compile(rb"[\t\r\n\x20-\x7e]{12}")
 #: First bytes of compressed layers.
-MAGIC = ((b"\x1f\x8b", gzip.decompress), (b"BZh", bz2.decompress), (b"\xfd7zXZ\x00", lzma.decompress),
-         (b"\x28\xb5\x2f\xfd", lambda b: zstandard.ZstdDecompressor().decompressobj().decompress(b)),
-         (b"x\x01", zlib.decompress), (b"x\x5e", zlib.decompress), (b"x\x9c", zlib.decompress), (b"x\xda", zlib.decompress))
+PACKED = re.compile(rb"\x1f\x8b\x08|BZh[1-9]|\xfd7zXZ\x00|\x28\xb5\x2f\xfd|x[\x01\x5e\x9c\xda]")
+UNPACKERS = {0x1f: lambda: zlib.decompressobj(31), ord("B"): bz2.BZ2Decompressor, 0xfd: lzma.LZMADecompressor,
+             0x28: lambda: zstandard.ZstdDecompressor().decompressobj(), ord("x"): zlib.decompressobj}
 
 
 @dataclass(frozen=True)
@@ -109,7 +110,18 @@ def _escapes(layer: Layer, escape: re.Pattern, value) -> list[Layer]:
     if not at:
         return []
     pieces += [(text[i], i, i + 1) for i in range(at, len(text))]
-    return [_decoded(pieces, layer)]
+    return [*_unpacked(pieces, layer), _decoded(pieces, layer)]
+
+
+def _unpacked(pieces: list[tuple[bytes | str, int, int]], layer: Layer) -> list[Layer]:
+    """What is compressed in the bytes of the pieces, each placed on the bytes it was read from."""
+    parts = [p[0] if isinstance(p[0], bytes) else p[0].encode("latin-1" if p[0] <= "\xff" else "utf-8") for p in pieces]
+    of = [k for k, part in enumerate(parts) for _ in part]
+    out = []
+    for first, last, text in _inflated(b"".join(parts)):
+        start, end = layer.place(pieces[of[first]][1], pieces[of[last - 1]][2])
+        out.append(Layer(text, [start] * len(text), [end] * len(text), layer.depth + 1))
+    return out
 
 
 def _code_point(e: re.Match) -> str:
@@ -128,46 +140,68 @@ def _readable(raw: bytes) -> str | None:
     return raw.decode("utf-8", "surrogateescape") if LEAST_RUN.search(raw) else None
 
 
-def _inflated(raw: bytes) -> bytes | None:
-    for magic, unpack in MAGIC:
-        if raw.startswith(magic):
-            try:
-                return unpack(raw)
-            except (OSError, EOFError, ValueError, zlib.error, lzma.LZMAError, zstandard.ZstdError):
-                return None
-    return None
+def _unpack(raw: bytes, at: int) -> tuple[bytes, int]:
+    """What inflates from ``at`` on, up to damage or the end, and where it ends."""
+    out = bytearray()
+    while PACKED.match(raw, at):
+        tool, to = UNPACKERS[raw[at]](), at
+        try:
+            while to < len(raw) and not tool.eof:
+                out += tool.decompress(raw[to:to + 256])
+                to = min(to + 256, len(raw))
+        except (OSError, EOFError, ValueError, zlib.error, lzma.LZMAError, zstandard.ZstdError):
+            return bytes(out), min(to + 256, len(raw))
+        at = to - len(tool.unused_data)
+        if not tool.eof:
+            break
+    return bytes(out), at
+
+
+def _inflated(raw: bytes) -> list[tuple[int, int, str]]:
+    """(start, end, text) of the compressed stretches of ``raw``, wherever they start."""
+    found, at = [], 0
+    while m := PACKED.search(raw, at):
+        inner, end = _unpack(raw, m.start())
+        while PACKED.match(inner) and (deeper := _unpack(inner, 0)[0]):
+            inner = deeper
+        text = _readable(inner)
+        if text is not None:
+            found.append((m.start(), end, text))
+        at = end if text is not None else m.start() + 1
+    return found
 
 
 def _base64(layer: Layer) -> list[Layer]:
-    out = []
-    for m in BASE64_RUN.finditer(layer.text):
-        body = m.group().rstrip("=")
-        if len(body) % 4 == 1:
-            body = body[:-1]
-        try:
-            raw = base64.b64decode(body.replace("-", "+").replace("_", "/") + "=" * (-len(body) % 4), validate=True)
-        except (binascii.Error, ValueError):
-            continue
-        packed = False
-        while (inner := _inflated(raw)) is not None:
-            raw, packed = inner, True
-        text = _readable(raw)
-        if text is None:
-            continue
-        if packed:  # a compressed layer has no finer place than its whole run
-            whole = layer.place(m.start(), m.end())
-            out.append(Layer(text, [whole[0]] * len(text), [whole[1]] * len(text), layer.depth + 1))
-            continue
-        starts, ends, at = [], [], 0
-        for c in text:
-            first, last = at, at + _width(c)
-            lo = m.start() + first * 8 // 6
-            hi = m.start() + min(len(m.group()), -(-last * 8 // 6))
-            place = layer.place(lo, max(hi, lo + 1))
-            starts.append(place[0])
-            ends.append(place[1])
-            at = last
-        out.append(Layer(text, starts, ends, layer.depth + 1))
+    """Layers of the runs, read from each of their first four characters on: a run may begin with
+    letters that are not its own.  Runs over line breaks come first, then each line by itself."""
+    out, opened = [], set()
+    runs = [m.span() for m in BASE64_LINES.finditer(layer.text) if m.end() - m.start() >= 16]
+    for start, end in runs + [m.span() for m in BASE64_RUN.finditer(layer.text)]:
+        at = [m.start() for m in BASE64_LETTER.finditer(layer.text, start, end)]
+        letters = "".join(layer.text[i] for i in at).replace("-", "+").replace("_", "/")
+        for phase in range(4):
+            body = letters[phase:]
+            if len(body) % 4 == 1:
+                body = body[:-1]
+            raw = base64.b64decode(body + "=" * (-len(body) % 4))
+            for first, _, text in _inflated(raw):
+                begin = at[phase + first * 8 // 6]
+                if begin not in opened:  # a compressed layer has no finer place than its whole run
+                    opened.add(begin)
+                    whole = layer.place(begin, end)
+                    out.append(Layer(text, [whole[0]] * len(text), [whole[1]] * len(text), layer.depth + 1))
+            text = _readable(raw)
+            if text is None:
+                continue
+            starts, ends, byte = [], [], 0
+            for c in text:
+                lo = phase + byte * 8 // 6
+                byte += _width(c)
+                hi = phase + -(-byte * 8 // 6)
+                place = layer.place(at[lo], at[hi - 1] + 1 if hi <= len(at) else end)
+                starts.append(place[0])
+                ends.append(place[1])
+            out.append(Layer(text, starts, ends, layer.depth + 1))
     return out
 
 

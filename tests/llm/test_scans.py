@@ -88,6 +88,21 @@ def test_layers_with_odd_characters_are_scanned(odd):
         assert [s[2] for s in secrets.scan(text)[1]] == ["assign"]
 
 
+def test_base64_over_lines_joined_to_letters_and_bytes_under_escapes():
+    filler = " ".join(f"word{k * 7919}" for k in range(60))
+    raw = (filler + " " + SECRET + " " + filler).encode()
+    lines = lambda b, n: "\n".join(b[i:i + n] for i in range(0, len(b), n))
+    packed = base64.b64encode(gzip.compress(raw)).decode()
+    texts = [lines(packed, 64), lines(packed, 76).replace("\n", "\r\n"), "path/s/" + packed, "key_" + packed]
+    texts += [lead + base64.b64encode(SECRET.encode()).decode() for lead in ("path/s/", "key_", "a/", "x-y/")]
+    texts += ["".join(form % c for c in gzip.compress(raw)) for form in ("%%%02x", "\\x%02x")]
+    for text in texts:
+        assert "assign" in [s[2] for s in secrets.scan(f"before {text} after")[1]], text[:40]
+    for ahead in range(64):  # the secret at every place of a line
+        text = lines(base64.b64encode(raw[raw.index(b"token") - ahead:]).decode(), 64)
+        assert any(s[2] == "assign" and s[1] - s[0] >= 28 for s in secrets.scan(text)[1]), ahead
+
+
 def test_fixpoint_ends_on_nested_escapes():
     text = "%" + "25" * 3000 + "41"
     assert secrets.scan(text) == (plain_secrets(text), [])
