@@ -33,13 +33,11 @@ MIN_LETTERS, MIN_DOCUMENTS, MIN_SHARE = 4, 3, 0.4
 MAX_LETTERS = 14
 #: A stem is lengthened, and a word taken whole, if that keeps this share of its documents.
 SAME = 0.9
-#: Share of the toxic documents that a term must be in to be met with edits.
-FREQUENT = 0.03
 #: Terms of up to this many letters must be met exactly, words of up to twice as many within
 #: one edit, longer ones within two; stems within one from twice as many on.
 EXACT_LETTERS = 4
-#: A term near which clean texts use more words than this is met exactly.
-MAX_INNOCENT = 3
+#: Share of a term's uses that are expected to be misspelt.
+MISSPELT = 0.05
 WINDOW = 48
 WORDS = re.compile(r"[^\W_]+", re.UNICODE)
 #: Words of reported speech and of address in the corpus's four languages.
@@ -151,7 +149,7 @@ class FuzzyLexicon:
 
 def learned_terms(texts: list[str], labels: list[int]) -> dict[str, int]:
     """Words, and the shortest stems (with ``*``), whose documents are mostly toxic, with the
-    edits allowed: none for a term that only few toxic documents use."""
+    edits that their length allows."""
     documents = [{w for w in WORDS.findall(t.lower()) if len(w) >= MIN_LETTERS and w.isalpha()} for t in texts]
     seen, toxic, whole = Counter(), Counter(), Counter()
     holders: dict[str, set[int]] = {}
@@ -187,37 +185,42 @@ def learned_terms(texts: list[str], labels: list[int]) -> dict[str, int]:
         z = lengthened(z)
         if not any(z[:k] + "*" in terms for k in range(MIN_LETTERS, len(z) + 1)):
             terms.add(z if whole[z] >= SAME * toxic[z] else z + "*")
-    frequent = FREQUENT * sum(labels)
-    return {t: allowed_edits(t) if toxic[t.removesuffix("*")] >= frequent else 0 for t in sorted(terms)}
-
-
-def spared(texts: list[str], labels: list[int], terms: dict[str, int]) -> tuple[dict[str, int], frozenset[str]]:
-    """Edits allowed for each term, and the words of clean texts that only look like terms."""
-    edits = dict(terms)
-    lexicon = FuzzyLexicon(edits)
-    near: dict[str, set[str]] = {}
-    for text, label in zip(texts, labels):
-        if not label:
-            for word in set(WORDS.findall(text.lower())):
-                hit = lexicon.match(word)
-                if hit and hit[0]:
-                    near.setdefault(hit[1], set()).add(word)
-    for term, words in near.items():
-        if len(words) > MAX_INNOCENT:
-            edits[term] = 0
-    return edits, frozenset(w for t, words in near.items() if edits[t] for w in words)
+    return {t: allowed_edits(t) for t in sorted(terms)}
+
+
+def spared(texts: list[str], labels: list[int], lexicon: FuzzyLexicon) -> frozenset[str]:
+    """The words of clean texts that only look like terms."""
+    words = {w for text, label in zip(texts, labels) if not label for w in WORDS.findall(text.lower())}
+    return frozenset(w for w in words if (hit := lexicon.match(w)) and hit[0])
+
+
+def trusted(texts: list[str], labels: list[int], lexicon: FuzzyLexicon, innocent: list[frozenset[str]]) -> dict[str, float]:
+    """How far a word near each term speaks for the term: the share of toxic texts expected to
+    misspell it, against the share of clean texts that use a word near it not met in the other
+    half of the sample.  Both are shares, so a larger sample makes them surer and not stricter."""
+    uses, clean = Counter(), Counter()
+    for row, (text, label) in enumerate(zip(texts, labels)):
+        hits = [(w, hit) for w in set(WORDS.findall(text.lower())) if (hit := lexicon.match(w))]
+        if label:
+            uses.update({hit[1] for _, hit in hits if not hit[0]})
+        else:
+            clean.update({hit[1] for w, hit in hits if hit[0] and w not in innocent[1 - row % 2]})
+    n, m = max(1, sum(labels)), max(1, len(labels) - sum(labels))
+    expected = {t: MISSPELT * max(1, uses[t]) / n for t in lexicon.terms}
+    return {t: expected[t] / (expected[t] + clean[t] / m) for t in lexicon.terms}
 
 
 FEATURES = ("exact", "near", "quoted", "density")
 
 
 class ToxicityScorer:
-    def __init__(self, terms: dict[str, int], innocent: frozenset[str], weights: np.ndarray):
-        self.lexicon, self.innocent, self.weights = FuzzyLexicon(terms), innocent, weights
+    def __init__(self, terms: dict[str, int], innocent: frozenset[str], weights: np.ndarray,
+                 trust: dict[str, float] | None = None):
+        self.lexicon, self.innocent, self.weights, self.trust = FuzzyLexicon(terms), innocent, weights, trust or {}
         self._known: dict[str, tuple[int, str] | None] = {}
 
     def __reduce__(self):
-        return ToxicityScorer, (self.lexicon.terms, self.innocent, self.weights)
+        return ToxicityScorer, (self.lexicon.terms, self.innocent, self.weights, self.trust)
 
     def hits(self, text: str) -> list[tuple[int, int, str, int]]:
         """(start, end, edits, term) of every word near a term."""
@@ -260,15 +263,17 @@ class ToxicityScorer:
             if not found:
                 continue
             exact = near = quoted = 0
-            for start, end, edits, _ in found:
+            most = 0.0
+            for start, end, edits, term in found:
                 if self.context(text, start, end, len(found) - 1) <= -1.0:
                     quoted += 1
                 elif edits:
-                    near += 1
+                    near += self.trust.get(term, 1.0)
+                    most = max(most, self.trust.get(term, 1.0))
                 else:
                     exact += 1
             words = len(text) / 6 + 1
-            out[row] = min(exact, 3) / 3 + (exact > 0), min(near, 3) / 3 + (near > 0), min(quoted, 3) / 3, \
+            out[row] = min(exact, 3) / 3 + (exact > 0), min(near, 3) / 3 + most, min(quoted, 3) / 3, \
                 min(1.0, 20 * (exact + near) / words)
         return out
 
@@ -284,9 +289,18 @@ def train(sample: pd.DataFrame) -> ToxicityScorer:
     base = np.log((y.sum() + 1) / (len(y) - y.sum() + 1))
     texts = sample["text"].tolist()
     marks = y.astype(int).tolist()
-    scorer = ToxicityScorer(*spared(texts, marks, learned_terms(texts, marks)), np.array([3.0, 3.5, 0.3, 0.5, base]))
+    terms = learned_terms(texts, marks)
+    lexicon = FuzzyLexicon(terms)
+    halves = [spared(texts[k::2], marks[k::2], lexicon) for k in range(2)]
+    trust = trusted(texts, marks, lexicon, halves)
+    prior = np.array([3.0, 3.5, 0.3, 0.5, base])
+    scorer = ToxicityScorer(terms, halves[0] | halves[1], prior, trust)
     if len(np.unique(y)) == 2:
-        scorer.weights = logistic(scorer.features(texts), y, scorer.weights, np.array([3.0, 1.5, 1.5, 2.0, 10.0]))
+        # each half as if only the other half's clean words were known, as for unseen texts
+        x = np.zeros((len(texts), len(FEATURES)))
+        for k in range(2):
+            x[k::2] = ToxicityScorer(terms, halves[1 - k], prior, trust).features(texts[k::2])
+        scorer.weights = logistic(x, y, prior, np.array([3.0, 1.5, 1.5, 2.0, 10.0]))
     return scorer
 
 

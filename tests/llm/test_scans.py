@@ -139,6 +139,20 @@ def test_toxicity_learns_terms_and_context():
     assert toxic > 0.7 and near > 0.3 and toxic > quoted and clean < 0.3 and empty < 0.3
 
 
+def test_misspelled_rare_terms_are_met_whatever_the_size_of_the_clean_vocabulary():
+    rng = np.random.default_rng(7)
+    clean = [" ".join(f"{a}{b}{c}" for a, b, c in rng.choice(list("bdfklmnprst"), (30, 3))) for _ in range(1200)]
+    clean += ["the word gronph", "the word grumpo", "a brumph", "a agrumph", "one grumps"]  # five words near the term
+    rows = [(f"{t} grumph", 1) for t in clean[:4]] + [(f"{t} vorblek", 1) for t in clean[4:200]] + [(t, 0) for t in clean]
+    scorer = toxicity.train(pd.DataFrame(rows, columns=["text", "label"]))
+    assert {"grumph", "vorblek"} <= set(scorer.lexicon.terms)
+    for word, term in (("grunph", "grumph"), ("vorblec", "vorblek")):
+        assert [h[2:] for h in scorer.hits(f"you {word} you")] == [(1, term)]
+    assert scorer.hits("brumph and grumps") == []
+    near, plain = scorer.scores(["you vorblec you", "you lamp you"])
+    assert near > plain
+
+
 def test_quality_separates_kinds_of_text():
     rng = np.random.default_rng(2)
     words = ["reading", "mountain", "quietly", "harbour", "between", "letters", "morning", "another"]
