@@ -9,6 +9,8 @@ probability by logistic regression on labelled texts that made no dictionary.
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -21,6 +23,8 @@ from .labelled import fold, logistic, sigmoid, training_rows
 
 #: Bounds of the training sample: documents per class and bytes of each taken for a dictionary.
 TRAIN_ROWS, TRAIN_BYTES = 4000, 4096
+#: Pieces that a longer text's bytes are taken in, one from each equal part of it.
+PIECES = 8
 DICTIONARY_BYTES, BLOCK, LEVEL = 112_640, 2048, 3
 FOLDS, HELD_OUT, CUT = 5, 0, 0.3
 
@@ -69,10 +73,21 @@ class CompressionScorer:
         return sigmoid(np.column_stack([x, np.ones(len(x))]) @ self.weights)
 
 
+def _pieces(text: str) -> list[bytes]:
+    """The blocks of a text of up to ``TRAIN_BYTES``; of a longer one as many bytes, spread over
+    the whole of it at places drawn by hash."""
+    raw = text.encode("utf-8", "surrogatepass")
+    if len(raw) <= TRAIN_BYTES:
+        return [raw[at:at + BLOCK] for at in range(0, len(raw), BLOCK)]
+    draw, width = zlib.crc32(raw), TRAIN_BYTES // PIECES
+    ends = [len(raw) * k // PIECES for k in range(PIECES + 1)]
+    starts = [lo + zlib.crc32(b"%d" % k, draw) % (hi - lo - width + 1) for k, (lo, hi) in enumerate(zip(ends, ends[1:]))]
+    return [raw[at:at + width] for at in starts]
+
+
 def _dictionary(texts: list[str]) -> bytes:
     """A trained dictionary; a raw one where zstandard finds too little to train on."""
-    samples = [t.encode("utf-8", "surrogatepass")[:TRAIN_BYTES] for t in texts]
-    samples = [s[at:at + BLOCK] for s in samples for at in range(0, len(s), BLOCK)]
+    samples = [piece for t in texts for piece in _pieces(t)]
     total = sum(map(len, samples))
     try:
         return zstandard.train_dictionary(min(DICTIONARY_BYTES, max(256, total // 8)), samples).as_bytes()

@@ -166,6 +166,17 @@ def test_quality_separates_kinds_of_text():
     assert 0 < quality.train(sample[sample.label == 1]).scores(["text"])[0] <= 1
 
 
+def test_quality_learns_from_what_follows_the_opening():
+    rng = np.random.default_rng(3)
+    prose = ["reading", "mountain", "quietly", "harbour", "between", "letters", "morning", "another"]
+    opening = lambda: " ".join(rng.choice(prose, 800)) + " "
+    good = [opening() + " ".join(rng.choice(["garden", "window", "evening", "brother"], 800)) for _ in range(40)]
+    bad = [opening() + " ".join(rng.choice(["casino", "voucher", "jackpot", "winner"], 800)) for _ in range(40)]
+    scorer = quality.train(pd.DataFrame([(t, 1) for t in good] + [(t, 0) for t in bad], columns=["text", "label"]))
+    assert b"casino" in scorer.bad and b"garden" in scorer.good
+    assert sum(map(len, quality._pieces(bad[0]))) == quality.TRAIN_BYTES
+
+
 def test_licences_are_found_and_others_left():
     rng = np.random.default_rng(4)
     model = lic.train([" ".join(rng.choice(["the", "of", "river", "work", "under", "by", "and", "stone"], 12)) for _ in range(400)])
