@@ -158,3 +158,35 @@ scored AS (
 SELECT doc_id, item_id, count(*) AS n_hits, max(agree)::INTEGER AS agree, max(w)::INTEGER AS span, min(p)::INTEGER AS doc_token
 FROM scored WHERE agree >= ceil(w * 0.75) GROUP BY doc_id, item_id
 """
+
+ORACLE["op11_collocations"] = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang,
+           unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                        '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents),
+worded AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM worded),
+f1 AS (SELECT lang, w[i] AS a, count(*) AS f FROM places GROUP BY ALL),
+f2 AS (SELECT lang, w[i] AS a, w[i + 1] AS b, count(*) AS f FROM places WHERE i < len(w) GROUP BY ALL),
+f3 AS (SELECT lang, w[i] AS a, w[i + 1] AS b, w[i + 2] AS c, count(*) AS f FROM places WHERE i + 1 < len(w)
+       GROUP BY ALL HAVING count(*) >= 10),
+totals AS (SELECT lang, sum(f)::BIGINT AS n FROM f1 GROUP BY lang),
+longer AS (SELECT lang, a, b, max(f) AS f
+           FROM (SELECT lang, a, b, f FROM f3 UNION ALL SELECT lang, b, c, f FROM f3) GROUP BY lang, a, b),
+cuts AS (
+    SELECT p.lang, p.a || ' ' || p.b AS phrase, p.f AS a, 1 AS k, x.f AS l, y.f AS r
+    FROM f2 p JOIN f1 x ON x.lang = p.lang AND x.a = p.a JOIN f1 y ON y.lang = p.lang AND y.a = p.b
+    LEFT JOIN longer g ON g.lang = p.lang AND g.a = p.a AND g.b = p.b
+    WHERE p.f >= 10 AND (g.f IS NULL OR 100 * g.f < 50 * p.f)
+    UNION ALL
+    SELECT t.lang, t.a || ' ' || t.b || ' ' || t.c, t.f, 1, x.f, y.f
+    FROM f3 t JOIN f1 x ON x.lang = t.lang AND x.a = t.a JOIN f2 y ON y.lang = t.lang AND y.a = t.b AND y.b = t.c
+    UNION ALL
+    SELECT t.lang, t.a || ' ' || t.b || ' ' || t.c, t.f, 2, x.f, y.f
+    FROM f3 t JOIN f2 x ON x.lang = t.lang AND x.a = t.a AND x.b = t.b JOIN f1 y ON y.lang = t.lang AND y.a = t.c),
+scored AS (SELECT *, ((1000000::HUGEINT * a * a) // (l::HUGEINT * r))::BIGINT AS score FROM cuts),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM lowest)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""

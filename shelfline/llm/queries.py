@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import covertree, decontam, license, minhash, mixing, pii, quality, secrets, sharding, toxicity
+from . import (collocations, covertree, decontam, license, minhash, mixing, periodic, pii, quality, secrets, sharding,
+               toxicity, wrappers)
 from .common import table
 
 
@@ -52,6 +53,18 @@ def op10_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(docs, quality.fitted(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_wrapper_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.extracted(table(spark, sf_dir, "pages"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.run_report(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -60,4 +73,4 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_embedding_near_dedup, op2_pii_skip_chain, op3_secret_layers, op4_hash_tree_shards, op5_systematic_mix,
     op6_spaced_seed_decontamination, op7_toxicity_automata, op8_b_bit_minhash, op9_license_paragraphs,
-    op10_compression_quality, pipeline)}
+    op10_compression_quality, op11_collocations, op12_wrapper_text, op13_periodic_runs, pipeline)}
