@@ -146,10 +146,11 @@ def flows(docs: DataFrame, min_count: int = MIN_COUNT) -> DataFrame:
     """
     parts = graph_parts(docs).repartition("lang", "node")
     ends = F.sum(F.when(F.col("next").isNull(), F.col("n")).otherwise(F.lit(0))).alias("ends")
+    # conditions on sums only: one on a column would go below the shuffle and make it two
     nodes = (parts.groupBy("lang", "node").agg(F.sum("n").alias("n"), ends)
              .where((F.col("n") >= min_count) | ~F.col("node").contains(" ")))
     edges = (parts.groupBy("lang", "node", "next").agg(F.sum("n").alias("n"), ends)
-             .where((F.col("n") >= min_count) & F.col("next").isNotNull()))
+             .where((F.col("n") >= min_count) & (F.col("ends") < F.col("n"))))
     return nodes.select("lang", "node", F.lit(None).cast("string").alias("next"), "n", "ends").unionByName(
         edges.select("lang", "node", "next", "n", "ends"))
 
