@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import per_text, python_tasks
-from .labelled import fold, logistic, sigmoid, training_rows
+from .labelled import class_weights, fold, logistic, sigmoid, training_rows
 
 #: Bounds of the training sample: documents per class and bytes of each taken for a dictionary.
 TRAIN_ROWS, TRAIN_BYTES = 4000, 4096
@@ -95,14 +95,16 @@ def _dictionary(texts: list[str]) -> bytes:
         return b"".join(samples)[-DICTIONARY_BYTES:] or b" " * 8
 
 
-def train(sample: pd.DataFrame) -> CompressionScorer:
+def train(sample: pd.DataFrame, odds: float | None = None) -> CompressionScorer:
     """From rows (text, label): two of three make the dictionaries, the third the calibration.
 
     Both dictionaries take the same number of bytes, so that neither class is the longer
-    memory.  With a class missing, scores are the (smoothed) share of good rows.
+    memory.  With a class missing, scores are the (smoothed) share of good rows.  ``odds``: the
+    logarithm of the odds of label 1 among all labels (None: as in the sample), so that the score
+    is a probability whatever share of either class was sampled.
     """
     y = sample["label"].to_numpy(float)
-    prior = np.log((y.sum() + 1) / (len(y) - y.sum() + 1))
+    prior = np.log((y.sum() + 1) / (len(y) - y.sum() + 1)) if odds is None else odds
     if len(np.unique(y)) < 2:
         return CompressionScorer(b" " * 8, b" " * 8, np.array([0.0, 0.0, prior]))
     at = np.zeros(len(y), int)
@@ -117,12 +119,13 @@ def train(sample: pd.DataFrame) -> CompressionScorer:
     scorer = CompressionScorer(_dictionary(equal[1]), _dictionary(equal[0]), np.zeros(3))
     x = scorer.features(rest["text"].tolist())
     spread = np.array([60.0, 10.0, 10.0])
-    scorer.weights = logistic(x, rest["label"].to_numpy(float), np.array([5.0, 0.0, prior]), spread)
+    of = rest["label"].to_numpy(float)
+    scorer.weights = logistic(x, of, np.array([5.0, 0.0, prior]), spread, rows=class_weights(of, prior))
     return scorer
 
 
 def fitted(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> CompressionScorer:
-    return train(training_rows(docs, labels, "quality", FOLDS, HELD_OUT, train_rows))
+    return train(*training_rows(docs, labels, "quality", FOLDS, HELD_OUT, train_rows))
 
 
 def score_quality(docs: DataFrame, scorer: CompressionScorer) -> DataFrame:

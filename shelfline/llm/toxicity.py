@@ -22,15 +22,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import per_text
-from .labelled import fold, logistic, sigmoid, training_rows
+from .labelled import class_weights, fold, logistic, sigmoid, training_rows
 
 #: Bound of the training sample: documents per class.
 TRAIN_ROWS = 4000
 FOLDS, HELD_OUT, CUT = 4, 2, 0.3
-#: A term: letters, toxic documents it must be in, and the least lower bound of its share of
-#: toxic documents.
-MIN_LETTERS, MIN_DOCUMENTS, MIN_SHARE = 4, 3, 0.4
-MAX_LETTERS = 14
+#: A term: letters, and toxic documents it must be in.
+MIN_LETTERS, MIN_DOCUMENTS = 4, 3
+#: Its share of the toxic documents must be this many times its share of the clean ones, at the
+#: lower end of an interval of SURE standard errors.  Neither depends on how many documents of
+#: either class were sampled.
+MIN_LIFT, SURE = 4.0, 1.645
 #: A stem is lengthened, and a word taken whole, if that keeps this share of its documents.
 SAME = 0.9
 #: Terms of up to this many letters must be met exactly, words of up to twice as many within
@@ -39,14 +41,19 @@ EXACT_LETTERS = 4
 #: Share of a term's uses that are expected to be misspelt.
 MISSPELT = 0.05
 WINDOW = 48
-WORDS = re.compile(r"[^\W_]+", re.UNICODE)
+#: A word: letters and digits, with signs that stand for letters or part them inside it.
+WORDS = re.compile(r"[^\W_](?:[@$!+\-\u00ad\u200b]{0,2}[^\W_])*", re.UNICODE)
 #: Words of reported speech and of address in the corpus's four languages.
 SPEECH = frozenset("said says say wrote writes quote quoted quotes called calls word term phrase "
                    "sagte sagt schrieb zitat wort dit écrit cite mot dijo dice escribió cita palabra".split())
 ADDRESS = frozenset("you your youre u du dich dein ihr tu te toi ton vous votre tú eres usted".split())
 OPEN_QUOTES, CLOSE_QUOTES = "\"“„«‘", "\"”“»’"
 #: Letters that stand for others in disguised words.
-LOOKALIKE = str.maketrans("013457@$!", "oieastasi")
+LOOKALIKE = str.maketrans("013457@$!+", "oieastasit", "-\u00ad\u200b")
+
+
+def _folded(word: str) -> str:
+    return word if word.isalpha() else word.translate(LOOKALIKE)
 
 
 def allowed_edits(term: str) -> int:
@@ -147,30 +154,62 @@ class FuzzyLexicon:
         return self.ended[state] or stem
 
 
-def learned_terms(texts: list[str], labels: list[int]) -> dict[str, int]:
-    """Words, and the shortest stems (with ``*``), whose documents are mostly toxic, with the
-    edits that their length allows."""
-    documents = [{w for w in WORDS.findall(t.lower()) if len(w) >= MIN_LETTERS and w.isalpha()} for t in texts]
-    seen, toxic, whole = Counter(), Counter(), Counter()
-    holders: dict[str, set[int]] = {}
-    for row, (words, label) in enumerate(zip(documents, labels)):
-        if label:
-            for z in {w[:k] for w in words for k in range(MIN_LETTERS, min(len(w), MAX_LETTERS) + 1)}:
-                holders.setdefault(z, set()).add(row)
-            whole.update(words)
-    holders = {z: rows for z, rows in holders.items() if len(rows) >= MIN_DOCUMENTS}
-    toxic.update({z: len(rows) for z, rows in holders.items()})
-    for words in documents:
-        seen.update({z for w in words for k in range(MIN_LETTERS, min(len(w), MAX_LETTERS) + 1)
-                     if (z := w[:k]) in holders})
-    floor = max(MIN_SHARE, 2 * sum(labels) / max(1, len(labels)))
-
-    def least_share(z: str) -> float:
-        n, p, z2 = seen[z], toxic[z] / seen[z], 1.96 ** 2
-        return (p + z2 / (2 * n) - 1.96 * math.sqrt(p * (1 - p) / n + z2 / (4 * n * n))) / (1 + z2 / n)
+class Sample:
+    """Labelled texts as numbers of a common vocabulary: per text its distinct words and their counts."""
+
+    def __init__(self, texts: list[str], labels: list[int]):
+        self.labels = np.array(labels, int)
+        number: dict[str, int] = {}
+        self.words_in, self.counts = [], []
+        for text in texts:
+            found = Counter(WORDS.findall(text.lower()))
+            self.words_in.append(np.fromiter((number.setdefault(w, len(number)) for w in found), np.int32, len(found)))
+            self.counts.append(np.fromiter(found.values(), np.int32, len(found)))
+        self.words = list(number)
+
+    def documents(self, of: np.ndarray, groups: int, rows: np.ndarray) -> np.ndarray:
+        """In how many of ``rows`` each group of words occurs; ``of``: group of every word, -1 for none."""
+        out = np.zeros(groups, np.int64)
+        for row in rows.tolist():
+            found = of[self.words_in[row]]
+            out[np.unique(found[found >= 0])] += 1
+        return out
+
+
+def learned_terms(sample: Sample) -> dict[str, int]:
+    """Words, and the shortest stems (with ``*``), that toxic documents hold far more often than
+    clean ones, with the edits that their length allows.
+
+    Stems are lengthened letter by letter, as long as enough toxic documents hold them.
+    """
+    toxic_rows, clean_rows = np.flatnonzero(sample.labels == 1), np.flatnonzero(sample.labels == 0)
+    n_toxic, n_clean = len(toxic_rows), len(clean_rows)
+    plain = np.array([len(w) >= MIN_LETTERS and w.isalpha() for w in sample.words], bool)
+    toxic: dict[str, int] = {}
+    clean: dict[str, int] = {}
+    alive, letters = np.flatnonzero(plain), MIN_LETTERS
+    while len(alive):
+        stems: dict[str, int] = {}
+        of = np.full(len(sample.words), -1, np.int64)
+        of[alive] = [stems.setdefault(sample.words[k][:letters], len(stems)) for k in alive.tolist()]
+        held = sample.documents(of, len(stems), toxic_rows)
+        also = sample.documents(of, len(stems), clean_rows) if held.max(initial=0) >= MIN_DOCUMENTS else held
+        for stem, k in stems.items():
+            if held[k] >= MIN_DOCUMENTS:
+                toxic[stem], clean[stem] = int(held[k]), int(also[k])
+        letters += 1
+        alive = np.array([k for k in alive.tolist() if held[of[k]] >= MIN_DOCUMENTS and len(sample.words[k]) >= letters], int)
+    whole = dict(zip(sample.words, sample.documents(np.where(plain, np.arange(len(sample.words)), -1), len(sample.words),
+                                                    toxic_rows).tolist()))
+
+    def least_lift(z: str) -> float:
+        """The lower bound of the ratio of a term's shares (Katz interval, half a document added)."""
+        t, c = toxic[z] + 0.5, clean[z] + 0.5
+        error = math.sqrt(max(0.0, 1 / t - 1 / (n_toxic + 1) + 1 / c - 1 / (n_clean + 1)))
+        return t / (n_toxic + 1) / (c / (n_clean + 1)) * math.exp(-SURE * error)
 
     longer: dict[str, list[str]] = {}
-    for z in holders:
+    for z in toxic:
         longer.setdefault(z[:-1], []).append(z)
 
     def lengthened(z: str) -> str:
@@ -181,46 +220,72 @@ def learned_terms(texts: list[str], labels: list[int]) -> dict[str, int]:
             z = on
 
     terms: set[str] = set()
-    for z in sorted((z for z in holders if least_share(z) >= floor), key=lambda z: (len(z), z)):
+    stems: set[str] = set()
+    lifts = {z: lift for z in toxic if (lift := least_lift(z)) >= MIN_LIFT}
+    # the surest first; what it begins with would only blur it
+    for z in sorted(lifts, key=lambda z: (-lifts[z], len(z), z)):
         z = lengthened(z)
-        if not any(z[:k] + "*" in terms for k in range(MIN_LETTERS, len(z) + 1)):
-            terms.add(z if whole[z] >= SAME * toxic[z] else z + "*")
+        if any(z[:k] in terms or z[:k] + "*" in terms for k in range(MIN_LETTERS, len(z) + 1)) or z in stems:
+            continue
+        terms.add(z if whole.get(z, 0) >= SAME * toxic[z] else z + "*")
+        stems.update(z[:k] for k in range(MIN_LETTERS, len(z) + 1))
     return {t: allowed_edits(t) for t in sorted(terms)}
 
 
-def spared(texts: list[str], labels: list[int], lexicon: FuzzyLexicon) -> frozenset[str]:
-    """The words of clean texts that only look like terms."""
-    words = {w for text, label in zip(texts, labels) if not label for w in WORDS.findall(text.lower())}
-    return frozenset(w for w in words if (hit := lexicon.match(w)) and hit[0])
-
-
-def trusted(texts: list[str], labels: list[int], lexicon: FuzzyLexicon, innocent: list[frozenset[str]]) -> dict[str, float]:
-    """How far a word near each term speaks for the term: the share of toxic texts expected to
-    misspell it, against the share of clean texts that use a word near it not met in the other
-    half of the sample.  Both are shares, so a larger sample makes them surer and not stricter."""
-    uses, clean = Counter(), Counter()
-    for row, (text, label) in enumerate(zip(texts, labels)):
-        hits = [(w, hit) for w in set(WORDS.findall(text.lower())) if (hit := lexicon.match(w))]
-        if label:
-            uses.update({hit[1] for _, hit in hits if not hit[0]})
-        else:
-            clean.update({hit[1] for w, hit in hits if hit[0] and w not in innocent[1 - row % 2]})
-    n, m = max(1, sum(labels)), max(1, len(labels) - sum(labels))
-    expected = {t: MISSPELT * max(1, uses[t]) / n for t in lexicon.terms}
-    return {t: expected[t] / (expected[t] + clean[t] / m) for t in lexicon.terms}
-
-
-FEATURES = ("exact", "near", "quoted", "density")
+def spared(sample: Sample, rows: np.ndarray, hits: dict[int, tuple[int, str]]) -> frozenset[str]:
+    """The words of clean texts among ``rows`` that only look like terms."""
+    near = np.zeros(len(sample.words), bool)
+    near[[k for k, hit in hits.items() if hit[0]]] = True
+    return frozenset(sample.words[k] for row in rows.tolist() if not sample.labels[row]
+                     for k in sample.words_in[row][near[sample.words_in[row]]].tolist())
+
+
+def evidence_rates(sample: Sample, rows: np.ndarray, hits: dict[int, tuple[int, str]], terms: dict[str, int],
+                   innocent: frozenset[str]) -> dict[str, tuple[float, ...]]:
+    """For each term the share of toxic texts that hold it, how often a word of a clean text is it by
+    chance, exactly and nearly (words of ``innocent`` aside), and the share of clean texts that may
+    hold it unseen, among ``rows``.  All are shares: a larger sample makes them surer, not stricter."""
+    met = np.zeros(len(sample.words), bool)
+    met[list(hits)] = True
+    holds, exact, near = Counter(), Counter(), Counter()
+    words = toxic = clean = 0
+    for row in rows.tolist():
+        of, n = sample.words_in[row], sample.counts[row]
+        found = [(int(k), int(c)) for k, c in zip(of[met[of]], n[met[of]])]
+        if sample.labels[row]:
+            toxic += 1
+            holds.update({hits[k][1] for k, _ in found if not hits[k][0]})
+            continue
+        clean += 1
+        words += int(n.sum())
+        for k, c in found:
+            edits, term = hits[k]
+            if not edits:
+                exact[term] += c
+            elif sample.words[k] not in innocent:
+                near[term] += c
+    return {t: (max(holds[t] - 1, 0.5) / (toxic + 1), exact[t] / (words + 1), near[t] / (words + 1), CHANCE / (clean + 1))
+            for t in terms}
+
+
+#: Clean texts of the sample that are held to have a term beside those seen.
+CHANCE = 0.25
+#: Evidence of one term, and of all others together, counts up to this many nats.
+ONE, OTHERS = 6.0, 12.0
+FEATURES = ("most", "others", "quoted")
 
 
 class ToxicityScorer:
+    """Evidence is the logarithm of how much likelier a toxic text holds a term than a clean text of
+    the same length by chance, so a term that clean texts never use counts at any length."""
+
     def __init__(self, terms: dict[str, int], innocent: frozenset[str], weights: np.ndarray,
-                 trust: dict[str, float] | None = None):
-        self.lexicon, self.innocent, self.weights, self.trust = FuzzyLexicon(terms), innocent, weights, trust or {}
+                 rates: dict[str, tuple[float, ...]]):
+        self.lexicon, self.innocent, self.weights, self.rates = FuzzyLexicon(terms), innocent, weights, rates
         self._known: dict[str, tuple[int, str] | None] = {}
 
     def __reduce__(self):
-        return ToxicityScorer, (self.lexicon.terms, self.innocent, self.weights, self.trust)
+        return ToxicityScorer, (self.lexicon.terms, self.innocent, self.weights, self.rates)
 
     def hits(self, text: str) -> list[tuple[int, int, str, int]]:
         """(start, end, edits, term) of every word near a term."""
@@ -234,8 +299,7 @@ class ToxicityScorer:
         near = []
         for word in set(words):
             if word not in known:
-                plain = word if word.isalpha() else word.translate(LOOKALIKE)
-                known[word] = None if word in self.innocent else match(plain)
+                known[word] = None if word in self.innocent else match(_folded(word))
             if known[word] is not None:
                 near.append(word)
         if not near:
@@ -256,25 +320,28 @@ class ToxicityScorer:
         score += 0.5 * bool(around & ADDRESS)
         return score + 0.25 * min(others, 2)
 
+    def evidence(self, term: str, edits: int, words: float) -> float:
+        held, exact, near, unseen = self.rates[term]
+        share, rate = (held * MISSPELT, near) if edits else (held, exact)
+        return math.log(share / (unseen - math.expm1(-rate * words)))
+
     def features(self, texts: list[str]) -> np.ndarray:
         out = np.zeros((len(texts), len(FEATURES)))
         for row, text in enumerate(texts):
             found = self.hits(text) if text else []
             if not found:
                 continue
-            exact = near = quoted = 0
-            most = 0.0
+            words = len(text) / 6 + 1
+            speaks: dict[str, float] = {}
+            quoted = 0
             for start, end, edits, term in found:
-                if self.context(text, start, end, len(found) - 1) <= -1.0:
+                context = self.context(text, start, end, len(found) - 1)
+                if context <= -1.0:
                     quoted += 1
-                elif edits:
-                    near += self.trust.get(term, 1.0)
-                    most = max(most, self.trust.get(term, 1.0))
                 else:
-                    exact += 1
-            words = len(text) / 6 + 1
-            out[row] = min(exact, 3) / 3 + (exact > 0), min(near, 3) / 3 + most, min(quoted, 3) / 3, \
-                min(1.0, 20 * (exact + near) / words)
+                    speaks[term] = max(self.evidence(term, edits, words) + context, speaks.get(term, 0.0))
+            most = max(speaks.values(), default=0.0)
+            out[row] = min(most, ONE) / ONE, min(sum(speaks.values()) - most, OTHERS) / OTHERS, min(quoted, 3) / 3
         return out
 
     def scores(self, texts: list[str]) -> np.ndarray:
@@ -282,34 +349,41 @@ class ToxicityScorer:
         return sigmoid(np.column_stack([x, np.ones(len(x))]) @ self.weights)
 
 
-def train(sample: pd.DataFrame) -> ToxicityScorer:
-    """Lexicon and weights from rows (text, label); weights start from a prior in which a
-    misspelled term counts nearly as much as the term and a quotation little."""
+def train(sample: pd.DataFrame, odds: float | None = None) -> ToxicityScorer:
+    """Lexicon and weights from rows (text, label); ``odds``: logarithm of the odds of label 1 among
+    all labels (None: as in the sample).
+
+    Weights start from a prior in which evidence counts as it stands and a quotation little.
+    Neither the lexicon nor the weights depend on what share of either class was sampled.
+    """
     y = sample["label"].to_numpy(float)
-    base = np.log((y.sum() + 1) / (len(y) - y.sum() + 1))
+    base = np.log((y.sum() + 1) / (len(y) - y.sum() + 1)) if odds is None else odds
     texts = sample["text"].tolist()
-    marks = y.astype(int).tolist()
-    terms = learned_terms(texts, marks)
+    counted = Sample(texts, y.astype(int).tolist())
+    terms = learned_terms(counted)
     lexicon = FuzzyLexicon(terms)
-    halves = [spared(texts[k::2], marks[k::2], lexicon) for k in range(2)]
-    trust = trusted(texts, marks, lexicon, halves)
-    prior = np.array([3.0, 3.5, 0.3, 0.5, base])
-    scorer = ToxicityScorer(terms, halves[0] | halves[1], prior, trust)
+    hits = {k: hit for k, w in enumerate(counted.words) if (hit := lexicon.match(_folded(w)))}
+    halves = [np.arange(k, len(texts), 2) for k in range(2)]
+    innocent = [spared(counted, rows, hits) for rows in halves]
+    prior = np.array([ONE, OTHERS / 2, 0.3, base])
+    # each half as if only the other half's clean words were known, as for unseen texts
+    rates = [evidence_rates(counted, rows, hits, terms, innocent[1 - k]) for k, rows in enumerate(halves)]
+    mean = {t: tuple(np.mean([r[t] for r in rates], axis=0).tolist()) for t in terms}
+    scorer = ToxicityScorer(terms, innocent[0] | innocent[1], prior, mean)
     if len(np.unique(y)) == 2:
-        # each half as if only the other half's clean words were known, as for unseen texts
         x = np.zeros((len(texts), len(FEATURES)))
         for k in range(2):
-            x[k::2] = ToxicityScorer(terms, halves[1 - k], prior, trust).features(texts[k::2])
-        scorer.weights = logistic(x, y, prior, np.array([3.0, 1.5, 1.5, 2.0, 10.0]))
+            x[k::2] = ToxicityScorer(terms, innocent[1 - k], prior, rates[1 - k]).features(texts[k::2])
+        scorer.weights = logistic(x, y, prior, np.array([3.0, 3.0, 1.5, 2.0]), rows=class_weights(y, base))
     return scorer
 
 
 def fitted(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> ToxicityScorer:
-    return train(training_rows(docs, labels, "toxic", FOLDS, HELD_OUT, train_rows))
+    return train(*training_rows(docs, labels, "toxic", FOLDS, HELD_OUT, train_rows))
 
 
 def score_toxicity(docs: DataFrame, scorer: ToxicityScorer) -> DataFrame:
-    """doc_id, held_out, score, predicted, hits for every row; null and empty texts have no hit
+    """doc_id, held_out, score, predicted for every row; null and empty texts have no hit
     and the base score; repeated rows and other columns have no effect."""
     def run(ids, texts):
         return pd.DataFrame({"doc_id": ids, "score": scorer.scores(texts)})

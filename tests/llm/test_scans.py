@@ -9,6 +9,7 @@ import pandas as pd
 import pytest
 
 from shelfline.llm import license as lic
+from shelfline.llm.labelled import class_weights
 from shelfline.llm import pii, quality, secrets, toxicity
 
 TEXTS = ["", " ", "a@b.c x@y..z @a.b q@@w.e.r jo%2e@mail1.example.com.", "1.2.3.4.5.6.7.8 0001.2.3.4 256.1.1.1 1.2.3",
@@ -153,6 +154,38 @@ def test_misspelled_rare_terms_are_met_whatever_the_size_of_the_clean_vocabulary
     assert near > plain
 
 
+def test_lexicon_and_scores_do_not_depend_on_the_share_of_either_class():
+    rng = np.random.default_rng(9)
+    prose = [f"{a}{b}{c}" for a, b, c in rng.choice(list("bdfklmnprst"), (400, 3))]
+    text = lambda extra=(): " ".join(rng.permutation(rng.choice(prose, 60).tolist() + list(extra)))
+    toxic = [text(rng.choice(["grumphal", "vorblek", "zindrop"], 2)) for _ in range(600)]
+    clean = [text() for _ in range(2400)] + [text(["vorblet"]) for _ in range(5)]
+    odds = float(np.log(len(toxic) / len(clean)))
+    frame = lambda t, c: pd.DataFrame([(x, 1) for x in t] + [(x, 0) for x in c], columns=["text", "label"])
+    whole, even = toxicity.train(frame(toxic, clean), odds), toxicity.train(frame(toxic, clean[:600]), odds)
+    assert {"grumphal", "vorblek", "zindrop"} <= set(whole.lexicon.terms) and set(whole.lexicon.terms) == set(even.lexicon.terms)
+    # an unquoted term marks a text of any length, a clean text of any length stays
+    for length in (5, 100, 1000, 10_000):
+        words = rng.choice(prose, length).tolist()
+        for scorer in (whole, even):
+            clear, term, odd = scorer.scores([" ".join(words), " ".join([*words, "grumphal", *words]), " ".join([*words, "zind-rop"])])
+            assert term >= 0.3 and odd >= 0.3 and clear < 0.3
+    assert abs(whole.scores([""])[0] - even.scores([""])[0]) < 0.05
+
+
+def test_words_hold_signs_that_stand_for_letters():
+    scorer = toxicity.ToxicityScorer({"worthless": 2, "moron": 1}, frozenset(), np.zeros(4), {})
+    for word in ("wor+hless", "worth-less", "worth\u00adless", "w0rthle$$x", "mor0n", "m\u200boron"):
+        assert scorer.hits(f"you {word}!"), word
+
+
+def test_class_weights_restore_the_odds():
+    y = np.array([1.0] * 30 + [0.0] * 50)
+    w = class_weights(y, np.log(0.1))
+    assert np.isclose(w[y == 1].sum() / w[y == 0].sum(), 0.1) and w.max() == 1.0
+    assert (class_weights(y, np.log(0.6)) == 1.0).all() and (class_weights(np.ones(3), 0.0) == 1.0).all()
+
+
 def test_quality_separates_kinds_of_text():
     rng = np.random.default_rng(2)
     words = ["reading", "mountain", "quietly", "harbour", "between", "letters", "morning", "another"]
