@@ -63,6 +63,14 @@ def bounded_broadcast(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) ->
     return F.broadcast(df) if rows <= limit else df
 
 
+def one_of_each(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """One whole row of each key: the first by its columns as JSON, so that reruns agree.  Partial
+    aggregates keep one row a task, so a key may hold any share of the rows."""
+    as_text = F.to_json(F.struct("*"), {"ignoreNullFields": "false"})
+    first = rows.select(*keys, F.struct("*").alias("__row"), as_text.alias("__text"))
+    return first.groupBy(*keys).agg(F.min_by("__row", "__text").alias("__row")).select("__row.*")
+
+
 def fraction(key: Column) -> Column:
     """Uniform draw in (0, 1) from 52 bits of MD5: any SQL engine can repeat it."""
     return (hash52(key) + F.lit(0.5)) / F.lit(float(1 << 52))

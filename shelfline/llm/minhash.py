@@ -30,10 +30,10 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_broadcast, per_text, staged
+from .common import bounded_broadcast, one_of_each, per_text, staged
 from .components import connected_components
 
 HASHES, BITS, ROWS = 192, 2, 6
@@ -301,12 +301,21 @@ def _joined(docs: DataFrame, links: DataFrame | None, pairs: DataFrame, words: i
 
 
 def keep_one(docs: DataFrame, words: int = 5, percent: int = PERCENT) -> DataFrame:
-    """``docs`` with one row of each component; rows that repeat an id stay once."""
-    kept = staged(near_duplicates(docs, words, percent).where("kept and doc_id is not null")
-                  .groupBy(F.col("doc_id").alias("__kept")).agg(F.count(F.lit(1)).alias("__rows")), "kept")
-    alone = docs.join(kept, docs["doc_id"] == kept["__kept"]).drop("__kept")
-    first = Window.partitionBy("doc_id").orderBy("text")
-    repeated = (alone.where("__rows > 1").withColumn("__at", F.row_number().over(first))
-                .where("__at = 1").drop("__at"))
-    return (alone.where("__rows = 1").unionByName(repeated).drop("__rows")
-            .unionByName(docs.where(F.col("doc_id").isNull())))
+    """``docs`` (all columns) with one row of each component; rows that repeat an id stay once, the
+    first by their columns.  Rows without an id, words or text stay; an empty table stays empty.
+
+    The texts are not shuffled: ids of dropped and of repeated documents are broadcast as far as
+    their count allows, else they meet the texts in one join.
+    """
+    found = staged(near_duplicates(docs, words, percent).where("doc_id is not null")
+                   .select(F.col("doc_id").alias("__id"), "kept"), "linked")
+    dropped = staged(found.where("not kept").select("__id").distinct(), "dropped")
+    kept = docs.join(bounded_broadcast(dropped, dropped.count()), docs["doc_id"] == dropped["__id"], "left_anti")
+    repeated = staged(found.where("kept").groupBy("__id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("__id"),
+                      "repeated")
+    n = repeated.count()
+    if not n:
+        return kept
+    again = bounded_broadcast(repeated, n)
+    return (kept.join(again, kept["doc_id"] == again["__id"], "left_anti")
+            .unionByName(one_of_each(kept.join(again, kept["doc_id"] == again["__id"], "left_semi"), ["doc_id"])))

@@ -11,10 +11,12 @@ closely.  All of it is DataFrame expressions; the prefix sums run over run count
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, fraction, hash52, staged
+from .common import WORD, bounded_broadcast, fraction, hash52, one_of_each, staged
 from .ranks import cells_for, numbered, run_offsets
 
 WEIGHTS = (5, 2, 1)
@@ -55,17 +57,20 @@ def water_fill(sources: DataFrame, weights: tuple[float, ...] = WEIGHTS, share:
     return s.select("source", "source_size", F.least(F.col("cap"), F.col("weight") * F.col("final")).alias("target"))
 
 
-def mix(docs: DataFrame, count: int, seed: str = "mix") -> DataFrame:
-    """``docs`` (doc_id, source, text or size, anything else) with ``size``, ``source_size``,
-    ``target`` and ``copies``.
+def mix(docs: DataFrame, count: int, size: Column | None = None, tie: Sequence[Column] = (),
+        seed: str = "mix") -> DataFrame:
+    """``docs`` (doc_id, source, anything else) with ``size``, ``source_size``, ``target`` and
+    ``copies``; columns of these names are replaced.
 
-    Null or empty texts have size 0 and are sampled like the others; a null source is a
-    source; repeated rows are interchangeable.  ``count``: number of rows, which sets how
-    finely sources are cut.
+    ``size``: the size of a row (None: the words of ``text``).  Rows of one size and id stand in
+    order of ``tie``.  Null or empty texts have size 0 and are sampled like the others; a null
+    source is a source; repeated rows are interchangeable.  ``count``: number of rows, which sets
+    how finely sources are cut.
     """
     cells = cells_for(count, CELLS, ROWS_PER_RUN)
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
-    sized = docs if "size" in docs.columns else docs.withColumn("size", word_count(F.col("text")))
+    sized = docs.withColumn("__size", word_count(F.col("text")) if size is None else size)
+    sized = sized.drop("size", "source_size", "target", "copies").withColumnRenamed("__size", "size")
     keyed = (sized.withColumn("__source", F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("null")))
              .withColumn("__band", size_band("size"))
              .withColumn("__cell", F.pmod(hash52(F.concat(F.lit(seed + "|"), key)), F.lit(cells)).cast("int")))
@@ -79,7 +84,7 @@ def mix(docs: DataFrame, count: int, seed: str = "mix") -> DataFrame:
                .withColumn("start", fraction(F.concat(F.lit(seed + "|offset|"), F.col("__source"))))
                .select("__source", "source_size", "target", "rate", "start"))
     offsets = staged(run_offsets(runs, "__source", "__band", "__cell").join(targets, "__source"), "offsets")
-    order = [F.col("size"), F.col("doc_id").asc_nulls_last(), *([F.col("tie")] if "tie" in sized.columns else [])]
+    order = [F.col("size"), F.col("doc_id").asc_nulls_last(), *tie]
     ranked = numbered(keyed, offsets, "__source", "__band", "__cell", order, "__rank")
     crossed = lambda k: F.floor(F.col("start") + F.col("rate") * k)
     copies = (crossed(F.col("__rank") + 1) - crossed(F.col("__rank"))).cast("int")
@@ -87,6 +92,28 @@ def mix(docs: DataFrame, count: int, seed: str = "mix") -> DataFrame:
             .drop("__source", "__band", "__cell", "__rank", "rate", "start"))
 
 
+def repeat_mixed(docs: DataFrame) -> DataFrame:
+    """``docs`` with every row as often as the mix takes it (0 to 2 times).
+
+    Only ids, sizes and a checksum of each row go through the mix; the copies come back to the
+    rows in one join, broadcast as far as their count allows.  Equal rows share their copies.
+    Nulls and empty texts as in ``mix``; an empty table stays empty.
+    """
+    check = F.xxhash64(*docs.columns)
+    narrow = staged(docs.select("doc_id", F.col("source").cast("string").alias("source"),
+                                word_count(F.col("text")).alias("size"), check.alias("__check")), "narrow")
+    mixed = mix(narrow, narrow.count(), F.col("size"), [F.col("__check")])
+    taken = staged(mixed.groupBy(F.col("doc_id").alias("__id"), "__check")
+                   .agg(F.sum("copies").cast("int").alias("__copies"), F.count(F.lit(1)).alias("__rows")).where("__copies > 0"), "copies")
+    keyed = docs.withColumn("__check", check)
+    found = bounded_broadcast(taken.withColumnRenamed("__check", "__same"), taken.count())
+    rows = keyed.join(found, keyed["doc_id"].eqNullSafe(found["__id"]) & (F.col("__check") == F.col("__same")))
+    if not taken.where("__rows > 1").isEmpty():
+        rows = rows.where("__rows = 1").unionByName(one_of_each(rows.where("__rows > 1"), ["__id", "__check"]))
+    copies = F.explode(F.sequence(F.lit(1), F.col("__copies")))
+    return rows.select(*docs.columns, copies.alias("__copy")).drop("__copy")
+
+
 def mix_documents(docs: DataFrame) -> DataFrame:
     """One row per document with the words the mix takes from it.
 
@@ -95,6 +122,6 @@ def mix_documents(docs: DataFrame) -> DataFrame:
     sized = staged(docs.select("doc_id", F.col("source").cast("string").alias("source"),
                                word_count(F.col("text")).alias("size"),
                                F.crc32(F.coalesce(F.col("text").cast("binary"), F.lit(b""))).alias("tie")), "sizes")
-    out = mix(sized, sized.count())
+    out = mix(sized, sized.count(), F.col("size"), [F.col("tie")])
     return out.select("doc_id", "size", "source_size", "target",
                       (F.col("copies") * F.col("size")).cast("bigint").alias("taken"))
