@@ -37,22 +37,20 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it (0 to 2 times), repeats as rows."""
-    rows = docs.select("doc_id", F.col("source").cast("string").alias("source"),
-                       mixing.word_count(F.col("text")).alias("size"), F.struct("*").alias("row"))
-    mixed = mixing.mix(rows, docs.count()).where("copies > 0")
-    return mixed.select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")
+    return mixing.repeat_mixed(docs)
 
 
 def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, source, shard and slot of every row of the mix."""
     rows = sharding.shard_rows(docs.select("doc_id", "source"), sharding.fleet(SHARDS))
-    return sharding.with_slots(rows, docs.count(), tie=[F.col("source")])
+    return sharding.with_slots(rows, docs.count(), tie=[F.col("source")]).select("doc_id", "source", "shard", "slot")
 
 
 STAGES = [("quality", quality_stage), ("near_duplicates", near_duplicate_stage),
           ("decontamination", decontamination_stage), ("mixing", mixing_stage), ("sharding", sharding_stage)]
 
-#: SQL cannot express the compression classifier; the tests compare with a brute-force version.
+#: SQL cannot express the compression classifier; ``tests/llm/test_pipeline.py`` compares every stage
+#: with a plain version of it.
 ORACLE_SQL = None
 
 
