@@ -151,3 +151,19 @@ def align_to_schema(df: DataFrame, schema: T.StructType, defaults: dict | None =
             c = F.lit(None).cast(f.dataType)
         cols.append(c.alias(f.name))
     return df.select(*cols)
+
+
+def enforce_not_null(df: DataFrame, schema: T.StructType, what: str = "target") -> DataFrame:
+    """``df`` with the NOT NULL columns of a declared schema enforced (2.5).
+
+    A null in such a column raises in the task that meets it, so the writing job fails before its
+    commit and the table keeps its state.  The test is part of the projection: no pass of its own,
+    and none at all on columns that cannot be null.
+    """
+    out = []
+    for f in schema.fields:
+        c = F.col(f"`{f.name}`")
+        if not f.nullable and f.name in df.columns and df.schema[f.name].nullable:
+            c = F.coalesce(c, F.raise_error(F.lit(f"{what}.{f.name} must not be null")).cast(f.dataType))
+        out.append(c.alias(f.name))
+    return df.select(*out)

@@ -20,15 +20,18 @@ def _scd1(keys, sk, values, src1, src2) -> str:
     on = " AND ".join(f"d1.{x} = s2.{x}" for x in keys)
     vals = ", ".join(values)
     s2_vals = ", ".join(f"s2.{v}" for v in values)
+    at1, at2 = (f"CAST(TIMESTAMP '{d}' AS VARCHAR)" for d in (D1, D2))
+    changed = " OR ".join(f"d1.{v} IS DISTINCT FROM s2.{v}" for v in values)
     return f"""
 WITH s1 AS ({src1}), s2 AS ({src2}),
-d1 AS (SELECT row_number() OVER (ORDER BY {k}) AS {sk}, {k}, {vals} FROM s1),
+d1 AS (SELECT row_number() OVER (ORDER BY {k}) AS {sk}, {k}, {vals}, {at1} AS updated_at FROM s1),
 mx AS (SELECT coalesce(max({sk}), 0) AS m FROM d1)
 SELECT d1.* FROM d1 WHERE NOT EXISTS (SELECT 1 FROM s2 WHERE {on})
 UNION ALL
-SELECT d1.{sk}, {", ".join(f"s2.{x}" for x in keys)}, {s2_vals} FROM d1 JOIN s2 ON {on}
+SELECT d1.{sk}, {", ".join(f"s2.{x}" for x in keys)}, {s2_vals}, CASE WHEN {changed} THEN {at2} ELSE {at1} END
+FROM d1 JOIN s2 ON {on}
 UNION ALL
-SELECT (SELECT m FROM mx) + row_number() OVER (ORDER BY {k}) AS {sk}, {k}, {vals}
+SELECT (SELECT m FROM mx) + row_number() OVER (ORDER BY {k}) AS {sk}, {k}, {vals}, {at2}
 FROM s2 WHERE NOT EXISTS (SELECT 1 FROM d1 WHERE {on})"""
 
 
@@ -238,7 +241,8 @@ SELECT CAST(product_id AS BIGINT) AS product_id, product_name, description, cate
        CAST(price AS DECIMAL(14,2)) AS price, CAST(discount_pct AS DECIMAL(6,2)) AS discount_pct,
        CAST(discounted_price AS DECIMAL(14,2)) AS discounted_price,
        CAST(NULL AS DECIMAL(4,2)) AS rating, CAST(round(stock) AS INTEGER) AS stock,
-       availability, 'silver/validated/products/dt={RUN}' AS source_key, load_date
+       availability, 'silver/validated/products/dt={RUN}' AS source_key,
+       CAST(CAST(load_date AS TIMESTAMP) AS VARCHAR) AS loaded_at, load_date
 FROM ({S.products_silver()}) p""")
 
 

@@ -122,7 +122,7 @@ SELECT CAST(product_id AS BIGINT) AS product_id, product_name, description, cate
        CAST(price AS DECIMAL(14,2)) AS price, CAST(discount_pct AS DECIMAL(6,2)) AS discount_pct,
        CAST(discounted_price AS DECIMAL(14,2)) AS discounted_price,
        CAST(rating AS DECIMAL(4,2)) AS rating, CAST(round(stock) AS INTEGER) AS stock,
-       availability, {_src('products', day)} AS source_key, load_date
+       availability, {_src('products', day)} AS source_key, CAST(CAST(load_date AS TIMESTAMP) AS VARCHAR) AS loaded_at, load_date
 FROM ({valid('products', day)}) p"""
 
 
@@ -130,7 +130,7 @@ def customers_history(day=None) -> str:
     return f"""
 SELECT CAST(customer_id AS BIGINT) AS customer_id, first_name, last_name, full_name, email,
        CAST(round(age) AS INTEGER) AS age, age_band, gender, birth_date, city, state,
-       state_code, country, {_src('customers', day)} AS source_key, load_date
+       state_code, country, {_src('customers', day)} AS source_key, CAST(CAST(load_date AS TIMESTAMP) AS VARCHAR) AS loaded_at, load_date
 FROM ({valid('customers', day)}) c"""
 
 
@@ -143,7 +143,7 @@ SELECT CAST(cart_id AS BIGINT) AS cart_id, CAST(customer_id AS BIGINT) AS custom
        CAST(discount_pct AS DECIMAL(6,2)) AS discount_pct,
        CAST(discount_amount AS DECIMAL(14,2)) AS discount_amount,
        CAST(net_amount AS DECIMAL(14,2)) AS net_amount, sale_date,
-       {_src('sales', day)} AS source_key, load_date
+       {_src('sales', day)} AS source_key, CAST(CAST(load_date AS TIMESTAMP) AS VARCHAR) AS loaded_at, load_date
 FROM ({valid('sales', day)}) s"""
 
 
@@ -151,7 +151,7 @@ def stock_history(day=None) -> str:
     return f"""
 SELECT CAST(product_id AS BIGINT) AS product_id, reference_date,
        CAST(round(quantity) AS INTEGER) AS quantity, CAST(price AS DECIMAL(14,2)) AS price,
-       availability, {_src('stock', day)} AS source_key, load_date
+       availability, {_src('stock', day)} AS source_key, CAST(CAST(load_date AS TIMESTAMP) AS VARCHAR) AS loaded_at, load_date
 FROM ({valid('stock', day)}) s"""
 
 

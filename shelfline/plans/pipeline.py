@@ -221,8 +221,9 @@ def build_fact(spark: SparkSession, lk: L.Lake, ds: str, width: int = FACT_BUCKE
     sales = history.read_day(spark, lk.history("sales"), "sales", ds)
     products = history.read_day(spark, lk.history("products"), "products", ds)
     customers = history.read_day(spark, lk.history("customers"), "customers", ds)
-    batch = conform.align_to_schema(marts.consolidate_sales(sales, products, customers, ds),
-                                    schemas.FACT_SALES)
+    batch = conform.enforce_not_null(
+        conform.align_to_schema(marts.consolidate_sales(sales, products, customers, ds), schemas.FACT_SALES),
+        schemas.FACT_SALES, "fact_sales")
     batch, obs = L.counted(batch)
     upsert.upsert_key_ranges(spark, lk.table("fact_sales"), batch, schemas.FACT_KEYS,
                              schemas.FACT_SALES, FACT_BUCKET, upsert.key_range("cart_id", width),
@@ -272,32 +273,36 @@ def build_dimension(spark: SparkSession, lk: L.Lake, name: str, ds: str) -> int:
     root = lk.table(f"dim_{name}")
     current = read_dimension(spark, lk, name)
     if name == "date":
-        dates = calendar.calendar_range(spark, read_fact(spark, lk), ds)
+        # the fact's first date is kept with its placement: no row of it is read
+        placed = upsert.read_placement(spark, lk.table("fact_sales"), FACT_BUCKET)
+        dates = calendar.calendar_range(spark, placed, ds, date_col="first_date")
         missing = upsert.insert_missing(current, calendar.calendar_dimension(dates), ["date_sk"])
         new_state = current.unionByName(conform.align_to_schema(missing, schemas.DIM_DATE))
     else:
         schema, keys, sk = DIM_SPECS[name]
-        values = [f.name for f in schema.fields if f.name not in keys and f.name != sk]
+        values = [f.name for f in schema.fields if f.name not in (*keys, sk, "updated_at")]
         src = dimension_source(spark, lk, name, ds)
         # category and brand sources are group-by outputs: unique by construction
         new_state = conform.align_to_schema(
             upsert.scd1_upsert(current, src, keys, sk, values,
                                check_unique=name in ("product", "customer")), schema)
-    return L.write_snapshot(spark, new_state, root)
+    checked = conform.enforce_not_null(new_state, schemas.DIM_DATE if name == "date" else schema, f"dim_{name}")
+    return L.write_snapshot(spark, checked, root)
 
 
 # ── 07 audit ─────────────────────────────────────────────────────────────────
 def audit_counts(spark: SparkSession, lk: L.Lake, ds: str) -> dict:
     """Rows per layer for the day (history partitions, fact rows of the day, dimensions).
 
-    The fact itself is counted (its ``load_date`` column only): after a rerun it can
-    hold rows of the day that the last batch no longer has.
+    The fact's count is that of its rows (after a rerun it can hold rows of the day that
+    the last batch no longer has), kept per load day with its placement.
     """
     loaders = {f"history_{e}": (lambda e=e: history.read_day(spark, lk.history(e), e, ds)
                                 if L.exists(spark, lk.history(e)) else _missing(lk.history(e)))
                for e in config.ENTITIES}
-    loaders["fact_sales"] = lambda: read_fact(spark, lk).select("load_date").where(
-        F.col("load_date") == F.lit(ds).cast("date"))
+    placed = lambda: upsert.read_placement(spark, lk.table("fact_sales"), FACT_BUCKET)
+    loaders["fact_sales"] = lambda: (placed().where(F.col("load_date") == F.lit(ds).cast("date")),
+                                     F.coalesce(F.sum("n_rows"), F.lit(0)))
     loaders["dim_product"] = lambda: read_dimension(spark, lk, "product")
     loaders["dim_customer"] = lambda: read_dimension(spark, lk, "customer")
     return audit.layer_counts(spark, loaders)
@@ -311,9 +316,9 @@ def record_run(spark: SparkSession, lk: L.Lake, ds: str, run_id: str, results: d
     lineage = audit_counts(spark, lk, ds)
     status, failed = audit.run_status(results)
     L.append(audit.run_record(spark, PIPELINE, run_id, ds, results, lineage), lk.audit())
-    log.info("audit %s failed=%s lineage=%s", status, failed, lineage)
+    log.info("run %s of %s recorded as %s, rows per layer %s", run_id, ds, status, lineage)
     if failed:
-        raise RuntimeError(f"pipeline steps without success: {failed}")
+        raise RuntimeError(f"run {run_id}: no result from {', '.join(failed)}")
     return status
 
 
@@ -321,10 +326,11 @@ def record_run(spark: SparkSession, lk: L.Lake, ds: str, run_id: str, results: d
 def run_day(spark: SparkSession, lake_root: str, ds: str, records: dict[str, DataFrame] | None = None,
             raw_paths: dict[str, str] | None = None, run_id: str | None = None,
             limit: float | None = None, fact_bucket_width: int = FACT_BUCKET_WIDTH,
-            keep_stages: bool = False) -> dict:
+            keep_stages: bool = False, database: str | None = "retail") -> dict:
     """Run one day end to end; the audit record is appended whatever happens.
 
-    Raw, bronze, rejects, validated silver and the warehouse tables are always
+    ``database``: where the run registers its tables in the session catalog and points them at
+    the new state afterwards (None: not at all).  Raw, bronze, rejects, validated silver and the warehouse tables are always
     written; ``keep_stages`` also writes the cleaned and enriched silver stages
     (lineage only: the run chains them lazily otherwise).
     """
@@ -363,6 +369,9 @@ def run_day(spark: SparkSession, lake_root: str, ds: str, records: dict[str, Dat
         error = exc
     try:
         record_run(spark, lk, ds, run_id, results)
+        if database is not None and error is None:
+            from shelfline.sinks import catalog
+            catalog.register_tables(spark, lake_root, database)
     except Exception:  # noqa: BLE001 - the failure of the run itself comes first
         if error is None:
             raise

@@ -7,6 +7,7 @@ directory under the shared checkpoint folder and return what they read back.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,8 +33,15 @@ PAGE_SIZE = 500   # records per source envelope page
 
 
 def query(name: str):
+    """Registers a query; moments of loads and updates are given as text, which every engine
+    writes alike."""
     def wrap(fn):
-        REGISTRY[name] = fn
+        @functools.wraps(fn)
+        def run(spark, sf_dir):
+            out = fn(spark, sf_dir)
+            moments = [c for c in ("loaded_at", "updated_at") if c in out.columns]
+            return out.withColumns({c: F.col(c).cast("string") for c in moments}) if moments else out
+        REGISTRY[name] = run
         return fn
     return wrap
 
@@ -469,7 +477,7 @@ def q_history_day_load(spark, sf_dir):
     for day in (1, 2, 1):
         history.load_day(spark, _silver(spark, sf_dir, "products", day).where(
             ~quality.invalid_flag("products")), root, "products", dt.day_date(day),
-            scenario.source_key("products", day))
+            scenario.source_key("products", day), scenario.loaded_at(day))
     return history.read_history(spark, root, "products")
 
 
@@ -478,7 +486,7 @@ def q_align_columns(spark, sf_dir):
     """Extra source columns dropped, a missing target column added as null, types cast."""
     p = _silver(spark, sf_dir, "products").drop("rating").withColumn("tags", F.array(F.lit("x")))
     return history.align_for_history(p, "products", dt.RUN_DATE,
-                                     scenario.source_key("products", None))
+                                     scenario.source_key("products", None), scenario.loaded_at(None))
 
 
 def _dim_source(spark, sf_dir, name, day):
@@ -498,13 +506,13 @@ def _dim_source(spark, sf_dir, name, day):
 def _dim_two_days(spark, sf_dir, name) -> DataFrame:
     from shelfline.plans.pipeline import DIM_SPECS
     schema, keys, sk = DIM_SPECS[name]
-    values = [f.name for f in schema.fields if f.name not in keys and f.name != sk]
+    values = [f.name for f in schema.fields if f.name not in (*keys, sk, "updated_at")]
     root = scratch_path(spark, f"dim-{name}")
     for day in (1, 2):
         current = L.read_snapshot(spark, root, schema)
         new_state = conform.align_to_schema(
-            upsert.scd1_upsert(current, _dim_source(spark, sf_dir, name, day), keys, sk, values),
-            schema)
+            upsert.scd1_upsert(current, _dim_source(spark, sf_dir, name, day), keys, sk, values,
+                               stamp=scenario.loaded_at(day)), schema)
         L.write_snapshot(spark, new_state, root)
     return L.read_snapshot(spark, root, schema)
 
@@ -672,7 +680,7 @@ def _pipeline_two_days(spark, sf_dir, days=(1, 2)):
                    "customers": dt.customer_records(spark, sf_dir, day),
                    "carts": dt.cart_records(spark, sf_dir, day)}
         P.run_day(spark, root, dt.day_date(day), records=records, run_id=f"day-{day}",
-                  fact_bucket_width=FACT_WIDTH)
+                  fact_bucket_width=FACT_WIDTH, database=None)  # several lakes share the session's catalog
     return P, L.Lake(root)
 
 

@@ -24,6 +24,11 @@ def source_key(entity: str, day: int | None) -> str:
     return f"silver/validated/{entity}/dt={dt.day_date(day)}"
 
 
+def loaded_at(day: int | None):
+    """The moment that the queries take for a day's load: the day's beginning."""
+    return F.lit(dt.day_date(day)).cast("timestamp")
+
+
 def silver_sales(spark: SparkSession, sf_dir: str, day: int | None = None) -> DataFrame:
     """Cart lines, de-duplicated on (cart, product) keeping the last line of the cart."""
     lines = dt.sales_lines(spark, sf_dir, day)
@@ -57,14 +62,10 @@ def valid(spark: SparkSession, sf_dir: str, entity: str, day: int | None = None)
     return silver(spark, sf_dir, entity, day).where(~quality.invalid_flag(entity))
 
 
-def rejects(spark: SparkSession, sf_dir: str, entity: str, day: int | None = None) -> DataFrame:
-    return silver(spark, sf_dir, entity, day).where(quality.invalid_flag(entity))
-
-
 def history_frame(spark: SparkSession, sf_dir: str, entity: str,
                   day: int | None = None) -> DataFrame:
     """The rows a day load would put into the entity's history table."""
     df = valid(spark, sf_dir, entity, day)
     return align_to_schema(df, schemas.HISTORY[entity],
-                           defaults={"source_key": source_key(entity, day)},
+                           defaults={"source_key": source_key(entity, day), "loaded_at": loaded_at(day)},
                            what=f"history.{entity}")

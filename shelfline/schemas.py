@@ -43,7 +43,8 @@ SILVER = {
         ("net_amount", T.DoubleType(), True)),
 }
 
-# History tables: one snapshot per load_date (the partition column comes last).
+# History tables: one snapshot per load_date (the partition column comes last); loaded_at is
+# when the row was loaded.
 HISTORY = {
     "products": _s(
         ("product_id", T.LongType(), False), ("product_name", T.StringType(), True),
@@ -52,7 +53,8 @@ HISTORY = {
         ("price", MONEY, True), ("discount_pct", PCT, True),
         ("discounted_price", MONEY, True), ("rating", RATING, True),
         ("stock", T.IntegerType(), True), ("availability", T.StringType(), True),
-        ("source_key", T.StringType(), True), ("load_date", T.DateType(), False)),
+        ("source_key", T.StringType(), True), ("loaded_at", T.TimestampType(), False),
+        ("load_date", T.DateType(), False)),
     "customers": _s(
         ("customer_id", T.LongType(), False), ("first_name", T.StringType(), True),
         ("last_name", T.StringType(), True), ("full_name", T.StringType(), True),
@@ -61,7 +63,8 @@ HISTORY = {
         ("birth_date", T.DateType(), True), ("city", T.StringType(), True),
         ("state", T.StringType(), True), ("state_code", T.StringType(), True),
         ("country", T.StringType(), True),
-        ("source_key", T.StringType(), True), ("load_date", T.DateType(), False)),
+        ("source_key", T.StringType(), True), ("loaded_at", T.TimestampType(), False),
+        ("load_date", T.DateType(), False)),
     "sales": _s(
         ("cart_id", T.LongType(), False), ("customer_id", T.LongType(), True),
         ("product_id", T.LongType(), False), ("product_name", T.StringType(), True),
@@ -69,12 +72,14 @@ HISTORY = {
         ("gross_amount", MONEY, True), ("discount_pct", PCT, True),
         ("discount_amount", MONEY, True), ("net_amount", MONEY, True),
         ("sale_date", T.DateType(), True),
-        ("source_key", T.StringType(), True), ("load_date", T.DateType(), False)),
+        ("source_key", T.StringType(), True), ("loaded_at", T.TimestampType(), False),
+        ("load_date", T.DateType(), False)),
     "stock": _s(
         ("product_id", T.LongType(), False), ("reference_date", T.DateType(), False),
         ("quantity", T.IntegerType(), True), ("price", MONEY, True),
         ("availability", T.StringType(), True),
-        ("source_key", T.StringType(), True), ("load_date", T.DateType(), False)),
+        ("source_key", T.StringType(), True), ("loaded_at", T.TimestampType(), False),
+        ("load_date", T.DateType(), False)),
 }
 
 # Consolidated sales fact (7.3), keyed by (cart_id, product_id) without the date.
@@ -94,19 +99,20 @@ DIM_PRODUCT = _s(
     ("product_sk", T.LongType(), False), ("product_id", T.LongType(), False),
     ("product_name", T.StringType(), True), ("category", T.StringType(), True),
     ("brand", T.StringType(), True), ("sku", T.StringType(), True),
-    ("current_price", MONEY, True))
+    ("current_price", MONEY, True), ("updated_at", T.TimestampType(), False))
 DIM_CUSTOMER = _s(
     ("customer_sk", T.LongType(), False), ("customer_id", T.LongType(), False),
     ("full_name", T.StringType(), True), ("email", T.StringType(), True),
     ("gender", T.StringType(), True), ("age_band", T.StringType(), True),
     ("city", T.StringType(), True), ("state", T.StringType(), True),
-    ("state_code", T.StringType(), True), ("country", T.StringType(), True))
+    ("state_code", T.StringType(), True), ("country", T.StringType(), True),
+    ("updated_at", T.TimestampType(), False))
 DIM_CATEGORY = _s(
     ("category_sk", T.LongType(), False), ("category", T.StringType(), False),
-    ("product_count", T.IntegerType(), True))
+    ("product_count", T.IntegerType(), True), ("updated_at", T.TimestampType(), False))
 DIM_BRAND = _s(
     ("brand_sk", T.LongType(), False), ("brand", T.StringType(), False),
-    ("product_count", T.IntegerType(), True))
+    ("product_count", T.IntegerType(), True), ("updated_at", T.TimestampType(), False))
 DIM_DATE = _s(
     ("date_sk", T.IntegerType(), False), ("date", T.DateType(), False),
     ("year", T.ShortType(), True), ("quarter", T.ShortType(), True),
@@ -117,4 +123,5 @@ DIM_DATE = _s(
 AUDIT_RUNS = _s(
     ("pipeline", T.StringType(), False), ("run_id", T.StringType(), False),
     ("ds", T.DateType(), False), ("status", T.StringType(), False),
-    ("steps", T.StringType(), True), ("lineage", T.StringType(), True))
+    ("steps", T.StringType(), True), ("lineage", T.StringType(), True),
+    ("recorded_at", T.TimestampType(), False))

@@ -50,16 +50,6 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
 
 
-def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Small driver-side document (pointer, catalogue) written through Hadoop FS."""
-    fs, p = _fs(spark, path)
-    out = fs.create(p, True)
-    try:
-        out.write(bytearray(text.encode("utf-8")))
-    finally:
-        out.close()
-
-
 def partition_dir(root: str, ds: str, col: str = "dt") -> str:
     return f"{root.rstrip('/')}/{col}={ds}"
 
@@ -144,27 +134,6 @@ def overwrite_partition(spark: SparkSession, df: DataFrame, root: str, ds: str,
     return n
 
 
-def replace_partitions(spark: SparkSession, rows: DataFrame, root: str, col: str,
-                       spread_by: list[str] | None = None) -> int:
-    """Overwrite exactly the partitions present in ``rows``, which may be read from ``root``.
-
-    Dynamic partition overwrite writes the new files into the job's staging
-    directory and swaps each partition in at job commit, after every task has
-    finished reading, so rows derived from the partitions being replaced are
-    safe (a retried task still reads the old files).  Rows are rebalanced on the
-    partition column first: each task then writes into few partitions instead
-    of a small file into every partition, and AQE splits a partition value that
-    holds a third of the rows over several writers and coalesces small ones
-    (no sampling pass, unlike a range repartition).  ``spread_by`` is kept for
-    callers; the rebalance needs only the partition column.  Returns the rows
-    written (observed during the write).
-    """
-    ordered, obs = counted(rows.hint("rebalance", col))
-    (ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(col).parquet(root))
-    return int(obs.get["n_rows"])
-
-
 # ── versioned snapshots for upserted tables ─────────────────────────────────
 _VERSION = re.compile(r"^v=(\d+)$")
 
@@ -178,26 +147,42 @@ def committed_versions(spark: SparkSession, root: str) -> list[int]:
     return sorted(out)
 
 
+def version_dir(root: str, version: int) -> str:
+    return f"{root.rstrip('/')}/v={version:06d}"
+
+
+def read_version(spark: SparkSession, root: str, version: int, schema: T.StructType) -> DataFrame:
+    return spark.read.schema(schema).parquet(version_dir(root, version))
+
+
 def read_snapshot(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
     """Latest committed snapshot, or an empty frame of the declared schema."""
     versions = committed_versions(spark, root)
     if not versions:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{root.rstrip('/')}/v={versions[-1]:06d}")
+    return read_version(spark, root, versions[-1], schema)
+
 
+#: Snapshot versions that stay: the latest, and two for readers of an earlier state.
+KEPT_VERSIONS = 3
 
-def write_snapshot(spark: SparkSession, df: DataFrame, root: str) -> int:
+
+def write_snapshot(spark: SparkSession, df: DataFrame, root: str, keep: int = KEPT_VERSIONS) -> int:
     """Write the next version; returns its row count (observed during the write).
 
     Parquet has no MERGE, so an upsert writes the new state as a new version;
     readers switch when its ``_SUCCESS`` marker lands and the previous version
-    stays readable until then (the write is the commit).
+    stays readable until then (the write is the commit).  Of the committed versions
+    the last ``keep`` stay, so the table does not grow with the number of runs.
     """
     versions = committed_versions(spark, root)
     nxt = (versions[-1] + 1) if versions else 1
     observed, obs = counted(df)
-    observed.write.mode("overwrite").parquet(f"{root.rstrip('/')}/v={nxt:06d}")
-    return int(obs.get["n_rows"])
+    observed.write.mode("overwrite").parquet(version_dir(root, nxt))
+    n = int(obs.get["n_rows"])
+    for version in [*versions, nxt][:-keep]:
+        delete(spark, version_dir(root, version))
+    return n
 
 
 def append(df: DataFrame, root: str) -> None:

@@ -190,19 +190,49 @@ def test_scd1_across_days(spark):
     values = ["product_name", "category", "brand", "sku", "current_price"]
     empty = spark.createDataFrame([], schema)
 
+    day = lambda d: F.lit(f"2026-01-0{d}").cast("timestamp")
+
     def src(rows):
         return spark.createDataFrame(
             rows, "product_id long, product_name string, category string, brand string, "
                   "sku string, current_price decimal(14,2)")
     d1 = upsert.scd1_upsert(empty, src([(3, "c", "x", None, "s3", None), (1, "a", "x", "b", "s1", None)]),
-                            ["product_id"], "product_sk", values)
+                            ["product_id"], "product_sk", values, stamp=day(1))
     d1 = spark.createDataFrame(d1.collect(), d1.schema)
     assert sorted((r["product_id"], r["product_sk"]) for r in d1.collect()) == [(1, 1), (3, 2)]
     # day 2: key 1 changes, key 3 absent (kept), key 2 new
     d2 = upsert.scd1_upsert(d1, src([(1, "a2", "x", "b", "s1", None), (2, "n", "y", None, "s2", None)]),
-                            ["product_id"], "product_sk", values)
-    got = sorted((r["product_id"], r["product_sk"], r["product_name"]) for r in d2.collect())
-    assert got == [(1, 1, "a2"), (2, 3, "n"), (3, 2, "c")]
+                            ["product_id"], "product_sk", values, stamp=day(2))
+    got = sorted((r["product_id"], r["product_sk"], r["product_name"], str(r["updated_at"])[:10]) for r in d2.collect())
+    assert got == [(1, 1, "a2", "2026-01-02"), (2, 3, "n", "2026-01-02"), (3, 2, "c", "2026-01-01")]
+    # day 3: equal values keep their moment, nulls included; one join serves all rows
+    d2 = spark.createDataFrame(d2.collect(), d2.schema)
+    d3 = upsert.scd1_upsert(d2, src([(2, "n", "y", None, "s2", None), (3, "c", "x", None, None, None)]),
+                            ["product_id"], "product_sk", values, stamp=day(3))
+    assert sorted((r["product_id"], str(r["updated_at"])[:10]) for r in d3.collect()) == \
+        [(1, "2026-01-02"), (2, "2026-01-02"), (3, "2026-01-03")]
+
+
+def test_old_snapshots_go_and_the_latest_stay(spark, tmp_lake):
+    root = os.path.join(tmp_lake, "snap")
+    for n in range(1, 6):
+        assert L.write_snapshot(spark, spark.range(n), root) == n
+    assert L.committed_versions(spark, root) == [3, 4, 5]
+    assert L.read_snapshot(spark, root, T.StructType([T.StructField("id", T.LongType())])).count() == 5
+
+
+def test_null_in_a_required_column_fails_the_load_and_keeps_the_day(spark, tmp_lake):
+    root = os.path.join(tmp_lake, "history_stock")
+    rows = lambda ids: spark.createDataFrame([(i, 5) for i in ids], "product_id long, quantity int").withColumn(
+        "reference_date", F.lit("2026-01-01").cast("date"))
+    history.load_day(spark, rows([1, 2]), root, "stock", "2026-01-01", "k")
+    with pytest.raises(Exception, match="history_stock.product_id must not be null"):
+        history.load_day(spark, rows([1, None, 3]), root, "stock", "2026-01-01", "k")
+    kept = history.read_day(spark, root, "stock", "2026-01-01")
+    assert sorted(r["product_id"] for r in kept.collect()) == [1, 2] and kept.where("loaded_at is null").count() == 0
+    plan = conform.enforce_not_null(spark.range(3).withColumnRenamed("id", "product_id"),
+                                    T.StructType([T.StructField("product_id", T.LongType(), False)]))
+    assert "raise_error" not in plan._jdf.queryExecution().optimizedPlan().toString()
 
 
 def test_surrogate_keys_are_dense_over_many_partitions(spark):
@@ -231,6 +261,58 @@ def test_key_range_upsert_backfill_wins(spark, tmp_lake):
     assert got == [(1, 1, "d1b"), (25, 1, "d2"), (26, 3, "d2"), (40, 2, "d1")]
 
 
+def test_key_range_upsert_lost_before_the_switch_keeps_every_row(spark, tmp_lake):
+    root = os.path.join(tmp_lake, "fact")
+    schema = T.StructType([T.StructField("cart_id", T.LongType()), T.StructField("product_id", T.LongType()),
+                           T.StructField("sale_date", T.DateType()), T.StructField("load_date", T.DateType())])
+    day = lambda d: dt.date(2026, 1, d)
+
+    def up(rows, **more):
+        return upsert.upsert_key_ranges(spark, root, spark.createDataFrame(rows, schema), ["cart_id", "product_id"], schema,
+                                        "b", upsert.key_range("cart_id", 10), staging=root + "_stg", **more)
+
+    def state():
+        return sorted(tuple(r) for r in upsert.read_bucketed(spark, root, schema, "b").drop("b").collect())
+
+    assert up([(1, 1, day(1), day(5)), (2, 1, day(2), day(5)), (25, 1, day(3), day(5))]) == 3
+    before = state()
+
+    def lost():
+        raise RuntimeError("driver lost")
+
+    # the merged ranges are written, the switch never comes: all rows of all days are there
+    with pytest.raises(RuntimeError, match="driver lost"):
+        up([(1, 1, day(4), day(6)), (99, 9, day(4), day(6))], before_switch=lost)
+    assert state() == before
+    assert up([(1, 1, day(4), day(6)), (99, 9, day(4), day(6))]) == 3
+    after = [(1, 1, day(4), day(6)), (2, 1, day(2), day(5)), (25, 1, day(3), day(5)), (99, 9, day(4), day(6))]
+    assert state() == after
+    # counts and first dates are kept per load day, without the rows
+    placed = {}
+    for r in upsert.read_placement(spark, root, "b").collect():
+        placed.setdefault(r["load_date"], []).append((r["n_rows"], r["first_date"]))
+    assert {d: (sum(n for n, _ in v), min(f for _, f in v)) for d, v in placed.items()} == \
+        {day(5): (2, day(2)), day(6): (2, day(4))}
+    # folders that no kept placement lists go, and the rows stay
+    for d in (7, 8, 9):
+        up([(1, 1, day(d), day(d))])
+    folders = [f for _, dirs, _ in os.walk(os.path.join(root, "rows")) for f in dirs if f == "b=0"]
+    assert len(folders) <= 4 and state() == [(1, 1, day(9), day(9)), *after[1:]]
+    with pytest.raises(ValueError, match="not unique"):
+        up([(3, 1, day(1), day(1)), (3, 1, day(1), day(1))])
+
+
+def test_key_range_upsert_reads_only_touched_folders(spark, tmp_lake):
+    root = os.path.join(tmp_lake, "fact")
+    schema = T.StructType([T.StructField("cart_id", T.LongType()), T.StructField("product_id", T.LongType())])
+    src = spark.range(0, 100).selectExpr("id as cart_id", "id as product_id")
+    upsert.upsert_key_ranges(spark, root, src, ["cart_id"], schema, "b", upsert.key_range("cart_id", 10), staging=root + "_stg")
+    placement = upsert.read_placement(spark, root, "b").where("b in (2, 3)")
+    rows = upsert._placed_rows(spark, root, schema, "b", placement)
+    assert sorted(r[0] for r in rows.collect()) == list(range(20, 40))
+    assert "dynamicpruning" in rows._jdf.queryExecution().executedPlan().toString().lower()
+
+
 # ── calendar and audit ───────────────────────────────────────────────────────
 def test_calendar_over_year_end(spark):
     fact = spark.createDataFrame([(dt.date(2025, 12, 25),)], "sale_date date")

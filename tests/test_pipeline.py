@@ -104,6 +104,39 @@ def test_catalog_tables_over_the_lake(spark, tmp_lake):
         catalog.table_columns(spark, "retail_test.nope")
 
 
+def test_a_run_points_its_eleven_tables_at_the_new_state(spark, tmp_lake):
+    _run(spark, tmp_lake)
+    tables = [t.name for t in spark.catalog.listTables("retail")]
+    assert len(tables) == 11 and {"audit_runs", "fact_sales", "dim_date"} <= set(tables)
+    assert spark.table("retail.audit_runs").count() == 1
+    first = spark.table("retail.dim_product").count()
+    more = fx.records("products") + [{**fx.records("products")[0], "id": 999}]
+    carts = [{**fx.records("carts")[0], "id": 777}]
+    _run(spark, tmp_lake, {"products": more, "carts": carts})
+    assert spark.table("retail.dim_product").count() == first + 1 == 31
+    assert spark.table("retail.history_products").count() == 31 and spark.table("retail.history_stock").count() == 31
+    assert spark.table("retail.history_sales").count() == 3
+    assert spark.table("retail.fact_sales").count() == 48 and spark.table("retail.audit_runs").count() == 2
+    assert spark.table("retail.audit_runs").where("recorded_at is null").count() == 0
+    changed = spark.table("retail.dim_product").groupBy("updated_at").count().collect()
+    assert sorted(r["count"] for r in changed) == [1, 30]
+    for name in ("history_customers", "dim_customer", "dim_category", "dim_brand", "dim_date"):
+        assert spark.table(f"retail.{name}").count() > 0, name
+
+
+def test_calendar_and_audit_read_no_rows_of_the_fact(spark, tmp_lake):
+    _run(spark, tmp_lake)
+    lk = L.Lake(tmp_lake)
+    from shelfline.operators import audit, calendar, upsert
+    placed = upsert.read_placement(spark, lk.table("fact_sales"), P.FACT_BUCKET)
+    dates = calendar.calendar_range(spark, placed, DS, date_col="first_date")
+    plan = dates._jdf.queryExecution().executedPlan().toString()
+    assert "fact_sales/placement" in plan and "fact_sales/rows" not in plan
+    least = P.read_fact(spark, lk).agg({"sale_date": "min"}).first()[0]
+    assert dates.agg({"date": "min"}).first()[0] == min(least, dates.agg({"date": "max"}).first()[0])
+    assert P.audit_counts(spark, lk, DS)["fact_sales"] == P.read_fact(spark, lk).where(f"load_date = '{DS}'").count()
+
+
 def test_audit_counts_the_fact_after_a_smaller_rerun(spark, tmp_lake):
     """A rerun with one cart less leaves that cart's rows in the fact; the audit says so."""
     _run(spark, tmp_lake)
