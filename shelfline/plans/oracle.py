@@ -159,7 +159,7 @@ SELECT c_custkey,
 FROM customer""")
 
 oracle("lenient_date", """
-SELECT o_orderkey, CASE WHEN o_orderkey % 6 <> 5 THEN CAST(o_orderdate AS DATE) END AS order_date
+SELECT o_orderkey, CASE WHEN o_orderkey % 11 <> 5 THEN CAST(o_orderdate AS DATE) END AS order_date
 FROM orders""")
 
 oracle("discounted_price", f"""

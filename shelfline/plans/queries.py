@@ -129,7 +129,7 @@ def _two_day_history(spark, sf_dir, entity) -> str:
     root = scratch_path(spark, f"history-{entity}")
     for day in (1, 2):
         history.load_day(spark, _hist(spark, sf_dir, entity, day), root, entity,
-                         dt.day_date(day), scenario.source_key(entity, day))
+                         dt.day_date(day), scenario.source_key(entity, day), scenario.loaded_at(day))
     return root
 
 
@@ -291,15 +291,23 @@ def q_lenient_integer(spark, sf_dir):
 
 @query("lenient_date")
 def q_lenient_date(spark, sf_dir):
-    """Order dates in six layouts (ISO, unpadded, US slash, month name, timestamp, junk)."""
+    """Order dates in eleven layouts: ISO, unpadded, US slash, month names, timestamps with zones
+    (the date is the local one), day first where no month fits, and junk."""
     o = dt.table(spark, sf_dir, "orders")
     d = F.col("o_orderdate")
-    k = F.col("o_orderkey") % 6
-    text = (F.when(k == 0, F.date_format(d, "yyyy-MM-dd"))
+    k = F.col("o_orderkey") % 11
+    iso = F.date_format(d, "yyyy-MM-dd")
+    late = F.dayofmonth(d) > 12
+    text = (F.when(k == 0, iso)
             .when(k == 1, F.date_format(d, "yyyy-M-d"))
             .when(k == 2, F.date_format(d, "M/d/yyyy"))
             .when(k == 3, F.date_format(d, "MMM d, yyyy"))
-            .when(k == 4, F.concat(F.date_format(d, "yyyy-MM-dd"), F.lit("T10:30:00.000Z")))
+            .when(k == 4, F.concat(iso, F.lit("T10:30:00.000Z")))
+            .when(k == 6, F.when(late, F.date_format(d, "d/M/yyyy")).otherwise(iso))
+            .when(k == 7, F.when(late, F.date_format(d, "dd-MM-yyyy")).otherwise(iso))
+            .when(k == 8, F.concat(iso, F.lit("T23:30:00-05:00")))
+            .when(k == 9, F.concat(iso, F.lit(" 00:00:00+09:00")))
+            .when(k == 10, F.when(F.month(d) == 9, F.concat(F.lit("Sept "), F.date_format(d, "d, yyyy"))).otherwise(iso))
             .otherwise(F.lit("not a date")))
     return o.select("o_orderkey", lenient_date(text).alias("order_date"))
 

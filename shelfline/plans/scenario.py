@@ -12,11 +12,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline import config, schemas
+from shelfline import schemas
 from shelfline.operators import quality
 from shelfline.operators.carts import enrich_sales
 from shelfline.operators.conform import align_to_schema
-from shelfline.operators.dedup import keep_last
 from shelfline.sources import driver_tables as dt
 
 
@@ -31,8 +30,7 @@ def loaded_at(day: int | None):
 
 def silver_sales(spark: SparkSession, sf_dir: str, day: int | None = None) -> DataFrame:
     """Cart lines, de-duplicated on (cart, product) keeping the last line of the cart."""
-    lines = dt.sales_lines(spark, sf_dir, day)
-    last = keep_last(lines, config.KEYS["sales"], "line_ord").drop("line_ord")
+    last = dt.last_sales_lines(spark, sf_dir, day)
     return (enrich_sales(last, dt.day_date(day), F.col("sale_date"))
             .withColumn("load_date", F.lit(dt.day_date(day)).cast("date")))
 

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from shelfline.functions import (age_band, email_normalise, full_name,
                                  round2)
+from shelfline.operators.dedup import keep_last
 
 # ── Fixed scenario parameters ────────────────────────────────────────────────
 RUN_DATE = "2001-12-31"           # the single landing of the whole tables
@@ -174,16 +175,39 @@ def silver_customers(spark: SparkSession, sf_dir: str, day: int | None = None) -
 
 
 # ── carts / sales lines ──────────────────────────────────────────────────────
-def _order_lines(spark, sf_dir, day):
+def _orders(spark, sf_dir, day):
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     if day == 1:
         o = o.where(F.col("o_orderdate") < F.lit(CART_DAY1_BEFORE).cast("timestamp_ntz"))
     elif day == 2:
         o = o.where(F.col("o_orderdate") >= F.lit(CART_DAY2_FROM).cast("timestamp_ntz"))
+    return o
+
+
+def _order_lines(spark, sf_dir, day):
+    o = _orders(spark, sf_dir, day)
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", *LINE_ORDER)
     return li.join(o, li.l_orderkey == o.o_orderkey)
 
 
+def last_sales_lines(spark: SparkSession, sf_dir: str, day: int | None = None) -> DataFrame:
+    """Flat cart lines de-duplicated on (cart, product), keeping the last line of the cart.
+
+    The lines are reduced before they meet their carts: the aggregate is spread by (cart,
+    product), and nothing above the join asks for its partitioning, so a cart that holds most
+    lines is a skewed join partition that AQE splits, not one task's group.
+    """
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", F.struct(*LINE_ORDER).alias("line_ord"))
+    last = keep_last(li, ["l_orderkey", "l_partkey"], "line_ord").select("l_orderkey", "l_partkey", "line_ord.*")
+    o = _orders(spark, sf_dir, day)
+    v = _line_values()
+    return last.join(o, last.l_orderkey == o.o_orderkey).select(
+        F.col("o_orderkey").alias("cart_id"),
+        F.col("o_custkey").alias("customer_id"),
+        *[c.alias(n) for n, c in v.items()],
+        F.col("o_orderdate").cast("date").alias("sale_date"))
+
+
 def _line_values() -> dict[str, Column]:
     gross = F.col("l_extendedprice")
     net = round2(gross * (1 - F.col("l_discount")))

@@ -213,6 +213,52 @@ def test_scd1_across_days(spark):
         [(1, "2026-01-02"), (2, "2026-01-02"), (3, "2026-01-03")]
 
 
+def test_dates_with_zones_day_first_and_sept(spark):
+    cases = {"13/05/1990": "1990-05-13", "13-05-1990": "1990-05-13", "05-06-1990": "1990-05-06", "5/6/1990": "1990-05-06",
+             "2024-01-01T23:30:00-05:00": "2024-01-01", "1990-05-13T00:00:00+09:00": "1990-05-13",
+             "2024-01-01 23:30:00": "2024-01-01", "Sept 5, 2001": "2001-09-05", "5 Sept 2001": "2001-09-05",
+             "September 5, 2001": "2001-09-05", "Sep 5, 2001": "2001-09-05", "32/01/1990": None, "13/13/1990": None,
+             "2024-01-01Tjunk": None, "2024-02-30T10:00:00Z": None, "Sept 31, 2001": None}
+    df = spark.createDataFrame([(k,) for k in cases], "s string")
+    got = {r["s"]: r["d"] and str(r["d"]) for r in df.select("s", lenient_date("s").alias("d")).collect()}
+    assert got == cases
+
+
+def test_a_cart_with_most_lines_is_split_and_gives_the_same_rows(spark, tmp_lake):
+    from shelfline.operators.dedup import keep_last
+    from shelfline.plans import scenario
+    from shelfline.sources import driver_tables
+    hot = F.when(F.col("id") % 3 < 2, F.lit(7)).otherwise(F.col("id") % 5000)
+    lines = spark.range(0, 60_000, 1, 8).select(
+        hot.alias("l_orderkey"), (F.col("id") % 9001).alias("l_partkey"), (F.col("id") % 5).alias("l_suppkey"),
+        (F.col("id") % 11).cast("int").alias("l_linenumber"), F.lit(2.0).alias("l_quantity"),
+        (F.col("id") % 97 + 1.0).alias("l_extendedprice"), F.lit(0.1).alias("l_discount"), F.lit(0.0).alias("l_tax"),
+        F.lit("N").alias("l_returnflag"), F.lit("O").alias("l_linestatus"),
+        F.lit("1998-01-02").cast("timestamp_ntz").alias("l_shipdate"))
+    orders = spark.range(0, 5000).select(F.col("id").alias("o_orderkey"), (F.col("id") % 50).alias("o_custkey"),
+                                         F.lit("1998-01-01").cast("timestamp_ntz").alias("o_orderdate"))
+    lines.write.parquet(f"{tmp_lake}/lineitem.parquet")
+    orders.write.parquet(f"{tmp_lake}/orders.parquet")
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+                "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k", "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        got = scenario.silver_sales(spark, tmp_lake)
+        rows = sorted(map(str, got.collect()))
+        assert "skew=true" in got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+    plain = keep_last(driver_tables.sales_lines(spark, tmp_lake), ["cart_id", "product_id"], "line_ord").drop("line_ord")
+    plain = carts.enrich_sales(plain, driver_tables.day_date(None), F.col("sale_date")).withColumn(
+        "load_date", F.lit(driver_tables.day_date(None)).cast("date"))
+    assert rows == sorted(map(str, plain.select(*got.columns).collect()))
+
+
 def test_old_snapshots_go_and_the_latest_stay(spark, tmp_lake):
     root = os.path.join(tmp_lake, "snap")
     for n in range(1, 6):
