@@ -14,9 +14,11 @@ from __future__ import annotations
 import base64
 import bz2
 import hashlib
+import itertools
 import lzma
 import re
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pandas as pd
@@ -49,15 +51,23 @@ UNPACKERS = {0x1f: lambda: zlib.decompressobj(31), ord("B"): bz2.BZ2Decompressor
              0x28: lambda: zstandard.ZstdDecompressor().decompressobj(), ord("x"): zlib.decompressobj}
 
 
+#: What is inflated is read in windows of so many bytes, each with the first bytes of the next.
+WINDOW, OVERLAP = 1 << 20, 1 << 16
+
+
 @dataclass(frozen=True)
 class Layer:
-    """An unwrapped text; character i stands for [starts[i], ends[i]) of the document."""
+    """An unwrapped text; character i stands for [starts[i], ends[i]) of the document, or for
+    ``whole`` like every other one (what was compressed has no finer place)."""
     text: str
     starts: list[int] | None
     ends: list[int] | None
     depth: int
+    whole: tuple[int, int] | None = None
 
     def place(self, start: int, end: int) -> tuple[int, int]:
+        if self.whole is not None:
+            return self.whole
         if self.starts is None:
             return start, end
         return self.starts[start], self.ends[end - 1]
@@ -95,12 +105,14 @@ def _decoded(pieces: list[tuple[bytes | str, int, int]], layer: Layer) -> Layer:
             at = to
         for c, first, last in chars:
             text.append(c)
+            if layer.whole is not None:
+                continue
             starts.append(layer.place(pieces[first][1], pieces[first][2])[0])
             ends.append(layer.place(pieces[last - 1][1], pieces[last - 1][2])[1])
-    return Layer("".join(text), starts, ends, layer.depth + 1)
+    return Layer("".join(text), starts, ends, layer.depth + 1, layer.whole)
 
 
-def _escapes(layer: Layer, escape: re.Pattern, value) -> list[Layer]:
+def _escapes(layer: Layer, escape: re.Pattern, value) -> Iterator[Layer]:
     """The whole text with its escapes replaced, so that what stands around them is scanned too."""
     text, pieces, at = layer.text, [], 0
     for e in escape.finditer(text):
@@ -108,20 +120,18 @@ def _escapes(layer: Layer, escape: re.Pattern, value) -> list[Layer]:
         pieces.append((value(e), e.start(), e.end()))
         at = e.end()
     if not at:
-        return []
+        return
     pieces += [(text[i], i, i + 1) for i in range(at, len(text))]
-    return [*_unpacked(pieces, layer), _decoded(pieces, layer)]
+    yield from _unpacked(pieces, layer)
+    yield _decoded(pieces, layer)
 
 
-def _unpacked(pieces: list[tuple[bytes | str, int, int]], layer: Layer) -> list[Layer]:
+def _unpacked(pieces: list[tuple[bytes | str, int, int]], layer: Layer) -> Iterator[Layer]:
     """What is compressed in the bytes of the pieces, each placed on the bytes it was read from."""
     parts = [p[0] if isinstance(p[0], bytes) else p[0].encode("latin-1" if p[0] <= "\xff" else "utf-8") for p in pieces]
     of = [k for k, part in enumerate(parts) for _ in part]
-    out = []
     for first, last, text in _inflated(b"".join(parts)):
-        start, end = layer.place(pieces[of[first]][1], pieces[of[last - 1]][2])
-        out.append(Layer(text, [start] * len(text), [end] * len(text), layer.depth + 1))
-    return out
+        yield Layer(text, None, None, layer.depth + 1, layer.place(pieces[of[first]][1], pieces[of[last - 1]][2]))
 
 
 def _code_point(e: re.Match) -> str:
@@ -140,41 +150,117 @@ def _readable(raw: bytes) -> str | None:
     return raw.decode("utf-8", "surrogateescape") if LEAST_RUN.search(raw) else None
 
 
-def _unpack(raw: bytes, at: int) -> tuple[bytes, int]:
-    """What inflates from ``at`` on, up to damage or the end, and where it ends."""
-    out = bytearray()
-    while PACKED.match(raw, at):
-        tool, to = UNPACKERS[raw[at]](), at
+class Inflating:
+    """What inflates from a place of ``raw`` on, up to damage or the end, piece by piece; ``end`` is
+    where it ended, once all pieces are read."""
+
+    def __init__(self, raw: bytes, at: int):
+        self.raw, self.end = raw, at
+
+    def __iter__(self) -> Iterator[bytes]:
+        raw = self.raw
+        while PACKED.match(raw, self.end):
+            tool, to = UNPACKERS[raw[self.end]](), self.end
+            try:
+                while to < len(raw) and not tool.eof:
+                    piece = tool.decompress(raw[to:to + 256])
+                    to = min(to + 256, len(raw))
+                    if piece:
+                        yield piece
+            except (OSError, EOFError, ValueError, zlib.error, lzma.LZMAError, zstandard.ZstdError):
+                self.end = min(to + 256, len(raw))
+                return
+            self.end = to - len(tool.unused_data)
+            if not tool.eof:
+                return
+
+
+def _in_pieces(pieces: Iterator[bytes]) -> Iterator[bytes]:
+    """What the pieces inflate to, 256 bytes of them at a time, so that each result is bounded."""
+    small = (p[k:k + 256] for p in pieces for k in range(0, len(p), 256))
+    rest = b""
+    while True:
+        while len(rest) < 8 and (p := next(small, None)) is not None:
+            rest += p
+        if not PACKED.match(rest):
+            return
+        tool = UNPACKERS[rest[0]]()
         try:
-            while to < len(raw) and not tool.eof:
-                out += tool.decompress(raw[to:to + 256])
-                to = min(to + 256, len(raw))
+            while not tool.eof:
+                out = tool.decompress(rest)
+                if out:
+                    yield out
+                if not tool.eof and (rest := next(small, None)) is None:
+                    return
         except (OSError, EOFError, ValueError, zlib.error, lzma.LZMAError, zstandard.ZstdError):
-            return bytes(out), min(to + 256, len(raw))
-        at = to - len(tool.unused_data)
-        if not tool.eof:
-            break
-    return bytes(out), at
-
-
-def _inflated(raw: bytes) -> list[tuple[int, int, str]]:
-    """(start, end, text) of the compressed stretches of ``raw``, wherever they start."""
-    found, at = [], 0
+            return
+        rest = tool.unused_data
+
+
+def _innermost(pieces: Iterator[bytes]) -> Iterator[bytes]:
+    """The pieces, inflated again as long as they begin a compressed layer themselves."""
+    first = b""
+    while len(first) < 8 and (p := next(pieces, None)) is not None:
+        first += p
+    if not PACKED.match(first):
+        if first:
+            yield first
+        yield from pieces
+        return
+    kept = [first]
+
+    def again() -> Iterator[bytes]:
+        yield first
+        for p in pieces:
+            if kept:
+                kept.append(p)
+            yield p
+
+    inner = _in_pieces(again())
+    out = next(inner, None)
+    if out is None:  # only looked like one
+        yield from kept
+        yield from pieces
+        return
+    kept.clear()
+    yield from _innermost(itertools.chain([out], inner))
+
+
+def _windows(pieces: Iterator[bytes]) -> Iterator[bytes]:
+    held = bytearray()
+    for p in pieces:
+        held += p
+        while len(held) >= WINDOW + OVERLAP:
+            yield bytes(held[:WINDOW + OVERLAP])
+            del held[:WINDOW]
+    if held:
+        yield bytes(held)
+
+
+def _inflated(raw: bytes) -> Iterator[tuple[int, int, str]]:
+    """(start, end, text) of the compressed stretches of ``raw``, wherever they start, a window of
+    text at a time: memory does not follow the inflated size.  A stretch is inflated twice, first
+    to see where it ends and whether anything in it can be read."""
+    at = 0
     while m := PACKED.search(raw, at):
-        inner, end = _unpack(raw, m.start())
-        while PACKED.match(inner) and (deeper := _unpack(inner, 0)[0]):
-            inner = deeper
-        text = _readable(inner)
-        if text is not None:
-            found.append((m.start(), end, text))
-        at = end if text is not None else m.start() + 1
-    return found
-
-
-def _base64(layer: Layer) -> list[Layer]:
+        stream, readable = Inflating(raw, m.start()), False
+        pieces = iter(stream)
+        for window in _windows(_innermost(pieces)):
+            readable = readable or LEAST_RUN.search(window) is not None
+        for _ in pieces:
+            pass
+        at = stream.end if readable else m.start() + 1
+        if readable:
+            for window in _windows(_innermost(iter(Inflating(raw, m.start())))):
+                text = _readable(window)
+                if text is not None:
+                    yield m.start(), stream.end, text
+
+
+def _base64(layer: Layer) -> Iterator[Layer]:
     """Layers of the runs, read from each of their first four characters on: a run may begin with
     letters that are not its own.  Runs over line breaks come first, then each line by itself."""
-    out, opened = [], set()
+    opened: dict[int, tuple[int, int]] = {}
     runs = [m.span() for m in BASE64_LINES.finditer(layer.text) if m.end() - m.start() >= 16]
     for start, end in runs + [m.span() for m in BASE64_RUN.finditer(layer.text)]:
         at = [m.start() for m in BASE64_LETTER.finditer(layer.text, start, end)]
@@ -186,13 +272,15 @@ def _base64(layer: Layer) -> list[Layer]:
             raw = base64.b64decode(body + "=" * (-len(body) % 4))
             for first, _, text in _inflated(raw):
                 begin = at[phase + first * 8 // 6]
-                if begin not in opened:  # a compressed layer has no finer place than its whole run
-                    opened.add(begin)
-                    whole = layer.place(begin, end)
-                    out.append(Layer(text, [whole[0]] * len(text), [whole[1]] * len(text), layer.depth + 1))
+                # a compressed layer has no finer place than its whole run, and is opened once
+                if opened.setdefault(begin, (phase, end)) == (phase, end):
+                    yield Layer(text, None, None, layer.depth + 1, layer.place(begin, end))
             text = _readable(raw)
             if text is None:
                 continue
+            if layer.whole is not None:
+                yield Layer(text, None, None, layer.depth + 1, layer.whole)
+                continue
             starts, ends, byte = [], [], 0
             for c in text:
                 lo = phase + byte * 8 // 6
@@ -201,17 +289,16 @@ def _base64(layer: Layer) -> list[Layer]:
                 place = layer.place(at[lo], at[hi - 1] + 1 if hi <= len(at) else end)
                 starts.append(place[0])
                 ends.append(place[1])
-            out.append(Layer(text, starts, ends, layer.depth + 1))
-    return out
+            yield Layer(text, starts, ends, layer.depth + 1)
 
 
-def unwrapped(layer: Layer) -> list[Layer]:
-    found = []
+def unwrapped(layer: Layer) -> Iterator[Layer]:
+    """The layers inside a layer, one at a time."""
     if "%" in layer.text:
-        found += _escapes(layer, URL_ESCAPE, lambda e: bytes([int(e.group(1), 16)]))
+        yield from _escapes(layer, URL_ESCAPE, lambda e: bytes([int(e.group(1), 16)]))
     if "\\" in layer.text:
-        found += _escapes(layer, CODE_ESCAPE, _code_point)
-    return found + _base64(layer)
+        yield from _escapes(layer, CODE_ESCAPE, _code_point)
+    yield from _base64(layer)
 
 
 def scan(text: str) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str, int]]]:
@@ -220,15 +307,17 @@ def scan(text: str) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, st
     base = sorted(base_spans(text), key=order)
     known = set(base)
     added, seen = [], set()
-    work = [Layer(text, None, None, 0)]
-    while work:
-        layer = work.pop()
-        for inner in unwrapped(layer):
-            mark = (hashlib.sha256(inner.text.encode("utf-8", "surrogatepass")).digest(), inner.starts[0] if inner.text else 0)
-            if not inner.text or mark in seen:
+    work = [unwrapped(Layer(text, None, None, 0))]
+    while work:  # depth first: one layer, or window of one, is held per depth
+        inner = next(work[-1], None)
+        if inner is None:
+            work.pop()
+        elif inner.text:
+            mark = (hashlib.sha256(inner.text.encode("utf-8", "surrogatepass")).digest(), inner.place(0, 1)[0])
+            if mark in seen:
                 continue
             seen.add(mark)
-            work.append(inner)
+            work.append(unwrapped(inner))
             for start, end, kind in base_spans(inner.text):
                 at = (*inner.place(start, end), kind)
                 if at not in known:

@@ -109,6 +109,25 @@ def test_fixpoint_ends_on_nested_escapes():
     assert secrets.scan(text) == (plain_secrets(text), [])
 
 
+@pytest.mark.parametrize("layers", [1, 2])
+def test_what_inflates_beyond_memory_is_scanned_to_its_end(layers):
+    import tracemalloc
+    import zlib
+    size = 256 << 20 if layers == 2 else 40 << 20
+    squeeze = zlib.compressobj(9, zlib.DEFLATED, 31)
+    packed = b"".join([squeeze.compress(b" " * (1 << 20)) for _ in range(size >> 20)]
+                      + [squeeze.compress(b"\npassword=tail-secret-42\n"), squeeze.flush()])
+    if layers == 2:
+        packed = gzip.compress(packed)
+        assert len(packed) < 2000
+    text = "see " + base64.b64encode(packed).decode() + " end"
+    tracemalloc.start()
+    base, added = secrets.scan(text)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert {(s, e, k) for s, e, k, _ in added} == {(4, len(text) - 4, "assign")} and peak < 300e6
+
+
 def test_fuzzy_lexicon_equals_edit_distance():
     terms = {"idiot": 1, "worthless": 2, "scum": 0, "vequ*": 0}
 
