@@ -73,7 +73,11 @@ FROM part""")
 oracle("envelope_check", f"""
 SELECT p_partkey // {PAGE} AS page, TRUE AS is_list, CAST(count(*) AS INTEGER) AS n_items,
        0 AS n_non_objects, TRUE AS ok
-FROM part GROUP BY 1""")
+FROM part GROUP BY 1
+UNION ALL
+SELECT page + k * 1000000, is_list, n_items, n_non_objects, FALSE
+FROM (SELECT DISTINCT p_partkey // {PAGE} AS page FROM part) p,
+     (VALUES (1, FALSE, 0, 0), (2, TRUE, 0, 0), (3, TRUE, 3, 2), (4, FALSE, 0, 0)) b(k, is_list, n_items, n_non_objects)""")
 
 oracle("privacy_projection", """
 SELECT c_custkey AS customer_id,

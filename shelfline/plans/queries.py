@@ -86,8 +86,16 @@ def q_envelope_records(spark, sf_dir):
 
 @query("envelope_check")
 def q_envelope_check(spark, sf_dir):
-    """Shape check of every envelope: list present, items, non-object items."""
-    return env.envelope_check(_product_pages(spark, sf_dir), "products", doc_cols=("page",))
+    """Shape check of every envelope (list present, items, non-object items), each page with four
+    broken ones beside it: an object for the list, an empty list, items that are no objects, no key."""
+    pages = _product_pages(spark, sf_dir)
+    number = F.col("page").cast("string")
+    broken = [F.concat(F.lit('{"products": {"id": '), number, F.lit("}}")), F.lit('{"products": [], "total": 0}'),
+              F.concat(F.lit('{"products": [{"id": 1}, '), number, F.lit(', "x"]}')), F.lit('{"items": [{"id": 1}]}')]
+    for k, value in enumerate(broken, 1):
+        pages = pages.unionByName(_product_pages(spark, sf_dir).select((F.col("page") + k * 1_000_000).alias("page"),
+                                                                       value.alias("value")))
+    return env.envelope_check(pages, "products", doc_cols=("page",))
 
 
 @query("privacy_projection")
