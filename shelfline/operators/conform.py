@@ -29,27 +29,67 @@ def _child_text(v: Column, key: str) -> Column:
     return F.try_variant_get(v, f"$['{key}']", "string")
 
 
-def discover_keys(records: DataFrame, record_col: str = "record") -> list[tuple[str, str | None]]:
+#: Columns that a flattening may give, and children that one object key may give as columns.
+MAX_COLUMNS, MAX_CHILDREN = 2_000, 500
+#: Column of the keys beyond ``MAX_COLUMNS``: one JSON object per record.
+REST = "_rest"
+#: Child of a key that is taken as one JSON column; and the entry that stands for ``REST``.
+WHOLE, OTHERS = Ellipsis, (None, Ellipsis)
+
+
+def discover_keys(records: DataFrame, record_col: str = "record", max_columns: int = MAX_COLUMNS,
+                  max_children: int = MAX_CHILDREN) -> list[tuple]:
     """(key, child) of the one-level flattening, in first-appearance order.
 
     Objects contribute one pair per child, everything else (key, None); a key may
     itself hold dots, so the two parts stay apart.  The scan is an aggregate with
-    partial combining, so only the distinct pairs (a schema's worth of rows) reach
-    the driver.
+    partial combining, so only distinct pairs reach the driver, at most ``max_columns`` of them.
+
+    Objects keyed by data would give a column for each of their keys.  Where there are more pairs
+    than that, keys are taken in the order of the records that hold them (ties: first position, then
+    name): an object of more than ``max_children`` children, or one whose children no longer fit, stays
+    one JSON column (key, WHOLE), and keys that find no room share the column ``REST``
+    (last entry OTHERS).  No value is lost, and the counting stays on the executors.
     """
     top = F.from_json(F.col(record_col), _VARIANT_MAP)
     pairs = records.select(F.posexplode(top).alias("pos", "k", "v"))
     sub = _as_object(F.col("v"))
     children = F.when(sub.isNotNull(), F.map_keys(sub)).otherwise(F.array(F.lit(None).cast("string")))
     flat = pairs.select("pos", "k", F.posexplode(children).alias("sub_pos", "child"))
-    rows = (flat.groupBy("k", "child")
-            .agg(F.min(F.struct("pos", "sub_pos")).alias("first"))
-            .collect())
-    rows.sort(key=lambda r: (r["first"]["pos"], r["first"]["sub_pos"], r["k"], r["child"] or ""))
-    return [(r["k"], r["child"]) for r in rows]
+    found = flat.groupBy("k", "child").agg(F.min(F.struct("pos", "sub_pos")).alias("first"))
+    rows = found.limit(max_columns + 1).collect()
+    if len(rows) > max_columns:
+        rows = _within_bounds(pairs, found, max_columns, max_children)
+    rows.sort(key=lambda r: (r["first"]["pos"], r["first"]["sub_pos"], r["k"],
+                             "" if r["child"] in (None, WHOLE) else r["child"]))
+    keys = [(r["k"], r["child"]) for r in rows if r["k"] is not None]
+    return keys + [OTHERS] if len(keys) < len(rows) else keys
+
+
+def _within_bounds(pairs: DataFrame, found: DataFrame, max_columns: int, max_children: int) -> list[dict]:
+    """The entries of ``discover_keys`` for records with more pairs than columns may be."""
+    held = pairs.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.min("pos").alias("pos"))
+    width = found.groupBy("k").agg(F.count(F.lit(1)).alias("width"))
+    per_key = (held.join(width, "k").orderBy(F.desc("n"), "pos", "k")
+               .limit(max_columns + 1).collect())
+    room, split, out = max_columns - 1, [], []          # one column is left for the rest
+    for r in per_key:
+        if r["width"] <= min(max_children, room):
+            split.append(r["k"])
+            room -= r["width"]
+        elif room:
+            out.append({"k": r["k"], "child": WHOLE, "first": {"pos": r["pos"], "sub_pos": 0}})
+            room -= 1
+        else:
+            out.append({"k": None, "child": WHOLE, "first": {"pos": 1 << 31, "sub_pos": 0}})
+            break
+    # at most max_columns rows reach the driver, as the widths were counted above
+    names = pairs.sparkSession.createDataFrame([(k,) for k in split], "k string")
+    return out + [{"k": r["k"], "child": r["child"], "first": r["first"]}
+                  for r in found.join(F.broadcast(names), "k", "left_semi").collect()]
 
 
-def flatten_one_level(records: DataFrame, keys: list[tuple[str, str | None]] | None = None,
+def flatten_one_level(records: DataFrame, keys: list[tuple] | None = None,
                       record_col: str = "record") -> DataFrame:
     """JSON record text -> one text column per key; objects one level deep (3.1, 3.2).
 
@@ -60,17 +100,24 @@ def flatten_one_level(records: DataFrame, keys: list[tuple[str, str | None]] | N
     records and a scalar in others has a column of its own, null for the objects,
     beside those of its children.  Keys with dots are taken whole; should one share
     its name with a child column, the first value found is kept.  Other columns are kept.
+    Keys beyond the bounds of ``discover_keys`` stay JSON: an object as one column, rare keys
+    together in ``_rest`` (null where a record has none of them).
     """
     if keys is None:
         keys = discover_keys(records, record_col)
     top = F.from_json(F.col(record_col), _VARIANT_MAP)
     keep = [c for c in records.columns if c != record_col]
     staged = records.select(*keep, top.alias("_m"))
-    parents = {k for k, child in keys if child is not None}
+    parents = {k for k, child in keys if child not in (None, WHOLE)}
     values: dict[str, list[Column]] = {}
     for k, child in keys:
+        if (k, child) == OTHERS:
+            named = sorted({k for k, _ in keys if k is not None})
+            others = F.map_filter(F.col("_m"), lambda key, _: ~key.isin(named))
+            values.setdefault(REST, []).append(F.when(F.size(others) > 0, F.to_json(others)))
+            continue
         v = F.col("_m")[F.lit(k)]
-        if child is not None:
+        if child not in (None, WHOLE):
             values.setdefault(f"{k}.{child}", []).append(_child_text(v, child))
         else:
             text = F.try_variant_get(v, "$", "string")

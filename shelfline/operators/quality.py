@@ -5,11 +5,11 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from shelfline import config
+from shelfline.sinks import lake as L
 
 INVALID = "_invalid"
 
@@ -104,32 +104,61 @@ def split(tagged: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def validate(df: DataFrame, entity: str, limit: float | None = None,
              write_rejects=None, write_valid=None) -> tuple[DataFrame | None, GateResult]:
-    """Tag once, count while writing the rejects, gate, then write the valid rows.
+    """Tag, count while writing the rejects, gate, then write the valid rows: for any two sinks.
 
     ``write_rejects(df)`` always runs (an empty frame replaces stale rejects of a
     rerun) and its job also collects the gate counts through an observation;
-    ``write_valid(df)`` runs only when the gate passes.  The tagged frame is
-    persisted so the source is read once for both writes.
+    ``write_valid(df)`` runs only when the gate passes.  Each sink's job reads ``df``, so pass
+    a written table; ``validate_day`` needs one job for both sides.
     """
     limit = config.reject_limit() if limit is None else limit
-    tagged = tag(df, entity).persist(StorageLevel.MEMORY_AND_DISK)
+    tagged = tag(df, entity)
+    if write_rejects is not None:
+        obs = Observation(f"gate_{entity}_{uuid.uuid4().hex[:8]}")
+        observed = tagged.observe(obs, F.count(F.lit(1)).alias("n_total"),
+                                  F.count_if(F.col(INVALID)).alias("n_rejected"))
+        write_rejects(observed.where(F.col(INVALID)).drop(INVALID))
+        n_total, n_bad = int(obs.get["n_total"]), int(obs.get["n_rejected"])
+    else:
+        row = gate_stats(tagged).first()
+        n_total, n_bad = int(row["n_total"]), int(row["n_rejected"])
+    result = GateResult(entity, n_total, n_bad, n_bad / max(n_total, 1), limit)
+    check_gate(result)
+    valid, _ = split(tagged)
+    if write_valid is not None:
+        write_valid(valid)
+        return None, result
+    return valid, result
+
+
+def validate_day(df: DataFrame, entity: str, rejects_root: str, valid_root: str, staging_root: str,
+                 ds: str, limit: float | None = None) -> GateResult:
+    """The gate of a day in one job (5.6): rows written once, split by their flag, then published.
+
+    The job writes both sides under ``staging_root`` and counts them on the way.  The rejects'
+    folder then takes the place of the day's rejects, whatever the gate says (a side without rows
+    becomes an empty table); the valid rows' folder takes the place of the day's valid rows if
+    the gate passes and is removed otherwise, so a day that fails keeps its earlier valid rows.
+    """
+    spark = df.sparkSession
+    limit = config.reject_limit() if limit is None else limit
+    tagged, obs = L.counted(tag(df, entity), n_rejected=F.count_if(F.col(INVALID)))
+    staged = L.partition_dir(staging_root, ds)
+    (tagged.write.mode("overwrite").option("partitionOverwriteMode", "static")
+     .partitionBy(INVALID).parquet(staged))
+    n_total, n_bad = int(obs.get["n_rows"]), int(obs.get["n_rejected"])
+    result = GateResult(entity, n_total, n_bad, n_bad / max(n_total, 1), limit)
     try:
-        if write_rejects is not None:
-            obs = Observation(f"gate_{entity}_{uuid.uuid4().hex[:8]}")
-            observed = tagged.observe(obs, F.count(F.lit(1)).alias("n_total"),
-                                      F.count_if(F.col(INVALID)).alias("n_rejected"))
-            write_rejects(observed.where(F.col(INVALID)).drop(INVALID))
-            n_total, n_bad = int(obs.get["n_total"]), int(obs.get["n_rejected"])
-        else:
-            row = gate_stats(tagged).first()
-            n_total, n_bad = int(row["n_total"]), int(row["n_rejected"])
-        result = GateResult(entity, n_total, n_bad, n_bad / max(n_total, 1), limit)
+        _publish(spark, f"{staged}/{INVALID}=true", rejects_root, ds, df)
         check_gate(result)
-        valid, _ = split(tagged)
-        if write_valid is not None:
-            write_valid(valid)
-            return None, result
-        return valid, result
+        _publish(spark, f"{staged}/{INVALID}=false", valid_root, ds, df)
     finally:
-        if write_valid is not None or write_rejects is not None:
-            tagged.unpersist()
+        L.delete(spark, staged)
+    return result
+
+
+def _publish(spark, side: str, root: str, ds: str, df: DataFrame) -> None:
+    if L.exists(spark, side):
+        L.move_into(spark, side, L.partition_dir(root, ds))
+    else:
+        L.write_day(spark.createDataFrame([], df.schema).coalesce(1), root, ds)

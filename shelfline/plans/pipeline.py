@@ -12,7 +12,6 @@ import datetime as _dt
 import logging
 import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -79,7 +78,7 @@ def to_bronze(spark: SparkSession, lk: L.Lake, raw_paths: dict[str, str], ds: st
         recs = read_raw_json(spark, path)
         flat = conform.flatten_one_level(
             recs.withColumnRenamed("source_file", "_source_file").withColumnRenamed("ord", "_ord"))
-        flat = flat.withColumn("_ingested_at", F.lit(ingested_at))
+        flat = conform.add_lineage(flat, F.col("_source_file"), ingested_at)
         dest, n = L.write_day_counted(flat, lk.bronze(entity), ds)
         return entity, (entity, path, dest, n, list(flat.columns), ds)
 
@@ -146,22 +145,18 @@ def clean(spark: SparkSession, lk: L.Lake, bronze: dict[str, str], ds: str,
 
 
 def enrich(spark: SparkSession, lk: L.Lake, cleaned: dict[str, DataFrame], ds: str,
-           keep_stages: bool = False) -> tuple[dict[str, DataFrame], list[DataFrame]]:
+           keep_stages: bool = False) -> dict[str, DataFrame]:
     """Derived columns, the stock snapshot and the load date.
 
-    The products frame feeds both products and stock, so it is persisted (when
-    not re-read from a written stage) to de-duplicate it once; the persisted
-    frames are returned for the caller to release after validation.
+    The products frame feeds both products and stock, so its stage is always written and both
+    read that copy: products are de-duplicated once, and a lost executor repeats no part of it.
     """
-    held: list[DataFrame] = []
     day = F.lit(ds).cast("date")
     p = cleaned["products"]
     if "discount_pct" not in p.columns:
         p = p.withColumn("discount_pct", F.lit(None).cast("double"))
     p = p.withColumn("discounted_price", discounted_price("price", "discount_pct"))
-    if not keep_stages:
-        p = p.persist(StorageLevel.MEMORY_AND_DISK)
-        held.append(p)
+    p = _stage(spark, p.withColumn("load_date", day), lk.silver("enriched", "products"), ds, True)
     c = cleaned["customers"]
     for col in ("first_name", "last_name", "email"):
         if col not in c.columns:
@@ -176,21 +171,18 @@ def enrich(spark: SparkSession, lk: L.Lake, cleaned: dict[str, DataFrame], ds: s
         v = v.drop("date")
     s = p.select("product_id", F.col("stock").alias("quantity"), "price", "availability",
                  day.alias("reference_date"))
-    frames = {"products": p, "customers": c, "sales": v, "stock": s}
-    return {e: _stage(spark, df.withColumn("load_date", day), lk.silver("enriched", e), ds,
-                      keep_stages)
-            for e, df in frames.items()}, held
+    rest = {e: _stage(spark, df.withColumn("load_date", day), lk.silver("enriched", e), ds, keep_stages)
+            for e, df in {"customers": c, "sales": v, "stock": s}.items()}
+    return {"products": p, **rest}
 
 
 def validate(spark: SparkSession, lk: L.Lake, enriched: dict[str, DataFrame], ds: str,
              limit: float | None = None) -> dict[str, str]:
-    """Rules per entity; rejects always replace the day's rejects, valid rows after the gate."""
+    """Rules per entity, one job each; rejects always replace the day's, valid rows after the gate."""
     def one(entity):
         dest = lk.silver("validated", entity)
-        quality.validate(
-            enriched[entity], entity, limit,
-            write_rejects=lambda r: L.write_day(r, lk.silver("rejects", entity), ds),
-            write_valid=lambda v: L.write_day(v, dest, ds))
+        quality.validate_day(enriched[entity], entity, lk.silver("rejects", entity), dest,
+                             lk.silver("split", entity), ds, limit)
         return entity, L.partition_dir(dest, ds)
 
     return dict(_parallel(one, ("products", "customers", "sales", "stock")))
@@ -330,9 +322,9 @@ def run_day(spark: SparkSession, lake_root: str, ds: str, records: dict[str, Dat
     """Run one day end to end; the audit record is appended whatever happens.
 
     ``database``: where the run registers its tables in the session catalog and points them at
-    the new state afterwards (None: not at all).  Raw, bronze, rejects, validated silver and the warehouse tables are always
-    written; ``keep_stages`` also writes the cleaned and enriched silver stages
-    (lineage only: the run chains them lazily otherwise).
+    the new state afterwards (None: not at all).  Raw, bronze, enriched products, rejects, validated
+    silver and the warehouse tables are always written; ``keep_stages`` also writes the other cleaned
+    and enriched silver stages (lineage only: the run chains them lazily otherwise).
     """
     from shelfline.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(spark)
@@ -350,13 +342,9 @@ def run_day(spark: SparkSession, lake_root: str, ds: str, records: dict[str, Dat
         results["bronze"] = bronze
         cleaned = clean(spark, lk, bronze, ds, keep_stages)
         results["clean"] = sorted(cleaned)
-        enriched, held = enrich(spark, lk, cleaned, ds, keep_stages)
+        enriched = enrich(spark, lk, cleaned, ds, keep_stages)
         results["enrich"] = sorted(enriched)
-        try:
-            validated = validate(spark, lk, enriched, ds, limit)
-        finally:
-            for df in held:
-                df.unpersist()
+        validated = validate(spark, lk, enriched, ds, limit)
         results["validate"] = validated
         load_history(spark, lk, validated, ds, lambda e, n: results.update({f"history_{e}": n}))
         results["fact"] = build_fact(spark, lk, ds, fact_bucket_width)

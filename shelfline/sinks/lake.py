@@ -5,7 +5,8 @@ Layout under a lake root (any Hadoop file system URI)::
     raw/<entity>/dt=<ds>/                  JSON Lines, one record per line
     bronze/<entity>/dt=<ds>/               Parquet, every column text + lineage
     bronze/_catalogue/dt=<ds>/             JSON, one row per entity
-    silver/<stage>/<entity>/dt=<ds>/       Parquet (cleaned, enriched, validated, rejects)
+    silver/<stage>/<entity>/dt=<ds>/       Parquet (cleaned, enriched, validated, rejects;
+                                           split: both sides of the gate until published)
     warehouse/history_<entity>/load_date=  Parquet, one partition per load day
     warehouse/fact_sales/cart_range=<n>/   Parquet, fact partitioned by cart-key range
     warehouse/dim_<name>/v=<n>/            Parquet snapshots of the dimensions
@@ -43,6 +44,15 @@ def delete(spark: SparkSession, path: str) -> bool:
     return bool(fs.delete(p, True)) if fs.exists(p) else False
 
 
+def move_into(spark: SparkSession, source: str, path: str) -> None:
+    """Folder ``source`` takes the place of ``path``: a rename, no row is read or written."""
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+    fs.mkdirs(p.getParent())
+    if not fs.rename(_fs(spark, source)[1], p):
+        raise OSError(f"could not move {source} to {path}")
+
+
 def list_dirs(spark: SparkSession, path: str) -> list[str]:
     fs, p = _fs(spark, path)
     if not fs.exists(p):

@@ -69,6 +69,42 @@ def test_flatten_one_level_and_privacy(spark):
     assert r["2"]["a.c"] is None and r["2"]["n"] is None
 
 
+def test_keys_beyond_the_bounds_stay_json(spark):
+    """100,000 keys that are data: as children of one key, and as keys of the records."""
+    n = F.col("id").cast("string")
+    nested = spark.range(100_000).select(F.concat(
+        F.lit('{"id": '), n, F.lit(', "dims": {"h": 1, "w": '), n, F.lit('}, "prices": {"p'), n,
+        F.lit('": 3}}')).alias("record"))
+    keys = conform.discover_keys(nested)
+    assert keys == [("id", None), ("dims", "h"), ("dims", "w"), ("prices", conform.WHOLE)]
+    row = conform.flatten_one_level(nested, keys).where(F.col("id") == "77777").first()
+    assert row.asDict() == {"id": "77777", "dims.h": "1", "dims.w": "77777", "prices": '{"p77777":3}'}
+
+    loose = spark.range(100_000).select(F.concat(
+        F.lit('{"id": '), n, F.lit(', "k'), n, F.lit('": {"x": '), n, F.lit("}}")).alias("record"))
+    keys = conform.discover_keys(loose)
+    assert len(keys) == conform.MAX_COLUMNS and keys[0] == ("id", None) and keys[-1] == conform.OTHERS
+    flat = conform.flatten_one_level(loose, keys)
+    named = {k for k, _ in keys if k}
+    lost = next(i for i in range(99_999, 0, -1) if f"k{i}" not in named)
+    assert flat.where(F.col("id") == str(lost)).first()[conform.REST] == f'{{"k{lost}":{{"x":{lost}}}}}'
+    assert flat.where(F.col(conform.REST).isNotNull()).count() == 100_000 - (len(named) - 1)
+
+
+def test_bounds_take_the_most_held_keys_first(spark):
+    recs = [json.dumps({"a": 1, "o": {"x": 1, "y": 2}, "b": 2, f"r{i}": i}) for i in range(4)]
+    df = spark.createDataFrame([(r,) for r in recs], "record string")
+    assert len(conform.discover_keys(df, max_columns=8)) == 8           # everything fits
+    assert conform.discover_keys(df, max_columns=5) == [("a", None), ("o", "x"), ("o", "y"), ("b", None),
+                                                        conform.OTHERS]
+    assert conform.discover_keys(df, max_columns=5, max_children=1) == [
+        ("a", None), ("o", conform.WHOLE), ("b", None), ("r0", None), conform.OTHERS]
+    rest = conform.flatten_one_level(df, conform.discover_keys(df, max_columns=4))
+    assert rest.columns == ["a", "o", "b", "_rest"] or rest.columns == ["a", "o.x", "o.y", "_rest"]
+    assert all(r["_rest"] for r in rest.collect())
+    assert conform.discover_keys(df.limit(0)) == []
+
+
 def test_schema_drift(spark):
     df = spark.createDataFrame([(1, "x", "extra")], "product_id long, product_name string, junk string")
     out = conform.align_to_schema(df, schemas.HISTORY["products"],
@@ -165,6 +201,34 @@ def test_rerun_without_rejects_replaces_stale_rejects(spark, tmp_lake):
     assert spark.read.parquet(L.partition_dir(lk.silver("rejects", "c"), "d")).count() == 0
 
 
+def test_one_job_gate_publishes_both_sides(spark, tmp_lake):
+    lk, jobs = L.Lake(tmp_lake), spark.sparkContext.statusTracker()
+    paths = [lk.silver(s, "c") for s in ("rejects", "validated", "split")]
+
+    def run(n, bad):
+        return quality.validate_day(_customers(spark, n, bad), "customers", *paths, "d", 0.05)
+
+    def rows(k):
+        return spark.read.parquet(L.partition_dir(paths[k], "d")).count()
+
+    spark.sparkContext.setJobGroup("gate", "gate")
+    try:
+        res = run(100, 5)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert res.passed and (rows(0), rows(1)) == (5, 95)
+    assert len(jobs.getJobIdsForGroup("gate")) == 1
+    with pytest.raises(ValueError, match="reject rate"):
+        run(100, 6)
+    assert (rows(0), rows(1)) == (6, 95)       # new rejects, the earlier valid rows stay
+    assert run(80, 0).passed and (rows(0), rows(1)) == (0, 80)
+    assert run(0, 0).passed and (rows(0), rows(1)) == (0, 0)
+    with pytest.raises(ValueError, match="reject rate"):
+        run(3, 3)
+    assert (rows(0), rows(1)) == (3, 0) and not L.list_dirs(spark, paths[2])
+    assert "_invalid" not in spark.read.parquet(L.partition_dir(paths[0], "d")).columns
+
+
 # ── loads and upserts ────────────────────────────────────────────────────────
 def _products(spark, rows):
     return spark.createDataFrame(rows, "product_id long, product_name string, price double")
