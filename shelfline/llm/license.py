@@ -1,6 +1,8 @@
 """Licence scans by a trained paragraph classifier.
 
-A paragraph is a line.  Multinomial logistic regression on sparse word n-grams
+A paragraph is a line, or consecutive lines over which a notice is wrapped: lines that consist
+mostly of word pairs of the notices and follow each other without a line empty of words (comment
+marks alone are no words).  Multinomial logistic regression on sparse word n-grams
 (one to three words of the notices' vocabulary) gives each licence family a
 probability, with an unknown class trained on paragraphs of the corpus.  The
 probabilities are calibrated by a temperature on held-out paragraphs.  A family is
@@ -23,7 +25,7 @@ from .common import per_text
 NOTICES = {
     "MIT": ["Released under the MIT License.",
             "This project is licensed under the terms of the MIT license.",
-            "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software"],
+            "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:"],
     "Apache-2.0": ["Licensed under the Apache License, Version 2.0.",
                    "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License.",
                    "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied."],
@@ -32,7 +34,11 @@ NOTICES = {
     "GPL-2.0": ["This program is licensed under the GNU General Public License, version 2.",
                 "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."],
     "LGPL": ["This library is licensed under the GNU Lesser General Public License.",
-             "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation."],
+             "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."],
+    "AGPL-3.0": ["This program is licensed under the GNU Affero General Public License, version 3.",
+                 "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."],
+    "EPL-2.0": ["Licensed under the Eclipse Public License 2.0.",
+                "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at"],
     "BSD": ["Released under the BSD License.", "Licensed under the 3-Clause BSD License.",
             "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"],
     "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
@@ -56,6 +62,8 @@ TRAIN_ROWS, TRAIN_PARAGRAPHS = 400, 4000
 NGRAM, COPIES, STEPS = 3, 24, 200
 #: Calibrated probability and template agreement that a report needs.
 CUT, AGREE = 0.5, 0.6
+#: Share of a line's word pairs that stand in notices, from which it may be a part of a wrapped one.
+LIKE = 0.5
 WORD = re.compile(r"[a-z0-9]+")
 
 
@@ -67,9 +75,24 @@ def grams(words: list[str], n: int) -> list[tuple[str, ...]]:
     return list(zip(*(words[i:] for i in range(n))))
 
 
+def ends_sentence(line: str) -> bool:
+    return line.rstrip().endswith((".", "!", "?", ":"))
+
+
 TEMPLATES = {family: [frozenset(grams(words_of(t), 2)) for t in notices] for family, notices in NOTICES.items()}
 
 
+#: Every word pair of the notices, and the pairs that open one.
+PAIRS = frozenset(p for notices in TEMPLATES.values() for t in notices for p in t)
+OPENINGS = frozenset(tuple(words_of(t)[:2]) for notices in NOTICES.values() for t in notices)
+
+
+def coverage(words: list[str], family: str) -> float:
+    """The largest share of one notice's word pairs that the paragraph holds."""
+    pairs = frozenset(grams(words, 2))
+    return max(len(pairs & t) / len(t) for t in TEMPLATES[family])
+
+
 def agreement(words: list[str], family: str) -> float:
     """The best share of word pairs: of the paragraph in a notice, or of a notice in the paragraph."""
     pairs = frozenset(grams(words, 2))
@@ -100,20 +123,66 @@ class LicenceModel:
         p = np.exp(z - z.max())
         return p / p.sum()
 
-    def find(self, text: str) -> list[tuple[int, int, int, str, float, float]]:
-        """(paragraph, start, end, family, probability, agreement) of every reported paragraph."""
-        out, at = [], 0
-        for number, line in enumerate(text.split("\n")):
+    def family(self, words: list[str]) -> tuple[str, float, float] | None:
+        """(family, probability, agreement) of a paragraph, or None for unknown."""
+        columns = self.columns(words) if words else []
+        if columns:  # without a known n-gram only the intercept speaks, for unknown
+            p = self.probabilities(columns)
+            k = int(p.argmax())
+            if k and p[k] >= CUT:
+                agree = agreement(words, FAMILIES[k])
+                if agree >= AGREE:
+                    return FAMILIES[k], float(p[k]), agree
+        return None
+
+    def paragraphs(self, lines: list[str]) -> list[list[tuple[int, list[str]]]]:
+        """Lines (number, words) in paragraphs: lines that may be parts of one notice stand together."""
+        out, last = [], None        # last word of the paragraph that the next line may join
+        for number, line in enumerate(lines):
             words = words_of(line)
-            columns = self.columns(words) if words else []
-            if columns:  # without a known n-gram only the intercept speaks, for unknown
-                p = self.probabilities(columns)
-                k = int(p.argmax())
-                if k and p[k] >= CUT:
-                    agree = agreement(words, FAMILIES[k])
-                    if agree >= AGREE:
-                        out.append((number, at, at + len(line), FAMILIES[k], float(p[k]), agree))
-            at += len(line) + 1
+            if not words:
+                last = None
+                continue
+            like = False
+            if words[0] in self.first or words[-1] in self.first:  # else no pair at the line's ends is known
+                pairs = grams([last, *words] if last else words, 2)
+                like = bool(pairs) and sum(p in PAIRS for p in pairs) >= LIKE * len(pairs)
+            if like and last and not self._opens(words, out[-1][-1], lines):
+                out[-1].append((number, words))
+            else:
+                out.append([(number, words)])
+            last = words[-1] if like else None
+        return out
+
+    def _opens(self, words: list[str], before: tuple[int, list[str]], lines: list[str]) -> bool:
+        """Does the line open a notice of its own, after a sentence or a notice that is complete?"""
+        if tuple(words[:2]) not in OPENINGS:
+            return False
+        found = self.family(before[1])
+        return ends_sentence(lines[before[0]]) or bool(found and coverage(before[1], found[0]) >= AGREE)
+
+    def find(self, text: str) -> list[tuple[int, int, int, str, float, float]]:
+        """(number of the first line, start, end, family, probability, agreement) of every reported paragraph.
+
+        A wrapped paragraph is one report, unless its lines hold notices of several families, or it
+        is of none as a whole: then each line stands for itself.
+        """
+        lines, out = text.split("\n"), []
+        starts = [0]
+        for line in lines:
+            starts.append(starts[-1] + len(line) + 1)
+        for paragraph in self.paragraphs(lines):
+            parts = [paragraph]
+            if len(paragraph) > 1:
+                alone = [(words, self.family(words)) for _, words in paragraph]
+                complete = {f[0] for words, f in alone if f and coverage(words, f[0]) >= AGREE}
+                if len(complete) > 1 or not self.family([w for _, words in paragraph for w in words]):
+                    parts = [[line] for line in paragraph]
+            for part in parts:
+                found = self.family([w for _, words in part for w in words])
+                if found:
+                    first, end = part[0][0], part[-1][0]
+                    out.append((first, starts[first], starts[end + 1] - 1, *found))
         return out
 
 
@@ -186,7 +255,8 @@ def scan_documents(docs: DataFrame, model: LicenceModel) -> DataFrame:
     """One row per reported paragraph: doc_id, paragraph, start, end (code points), family,
     probability, agreement.
 
-    Null, empty and licence-free texts give no rows; ids may be null or repeat; a notice that
+    ``paragraph`` is the number of its first line; families are those of ``NOTICES``.  Null, empty
+    and licence-free texts give no rows; ids may be null or repeat; a notice that
     repeats in a document is reported each time; other columns are not read.
     """
     def run(ids, texts):

@@ -239,3 +239,58 @@ def test_licences_are_found_and_others_left():
         for notice in notices:
             found = model.find(notice)
             assert found and found[0][3] == family, notice
+
+
+#: Notices as they are usually wrapped in source files.
+WRAPPED = {
+    "GPL-2.0": ["This program is free software; you can redistribute it and/or modify", "it under the terms of the GNU General Public License as published by",
+                "the Free Software Foundation; either version 2 of the License, or", "(at your option) any later version."],
+    "GPL-3.0": ["This program is free software: you can redistribute it and/or modify", "it under the terms of the GNU General Public License as published by",
+                "the Free Software Foundation, either version 3 of the License, or", "(at your option) any later version."],
+    "LGPL": ["This library is free software; you can redistribute it and/or", "modify it under the terms of the GNU Lesser General Public",
+             "License as published by the Free Software Foundation; either", "version 2.1 of the License, or (at your option) any later version."],
+    "AGPL-3.0": ["This program is free software: you can redistribute it and/or modify", "it under the terms of the GNU Affero General Public License as",
+                 "published by the Free Software Foundation, either version 3 of the", "License, or (at your option) any later version."],
+    "MIT": ["Permission is hereby granted, free of charge, to any person obtaining a copy", "of this software and associated documentation files (the \"Software\"), to deal",
+            "in the Software without restriction, including without limitation the rights", "to use, copy, modify, merge, publish, distribute, sublicense, and/or sell",
+            "copies of the Software, and to permit persons to whom the Software is", "furnished to do so, subject to the following conditions:"],
+    "Apache-2.0": ["Licensed under the Apache License, Version 2.0 (the \"License\");", "you may not use this file except in compliance with the License."],
+}
+
+
+@pytest.fixture(scope="module")
+def licences():
+    rng = np.random.default_rng(4)
+    words = ["the", "of", "river", "work", "under", "by", "and", "stone", "with", "any", "later"]
+    return lic.train([" ".join(rng.choice(words, 12)) for _ in range(400)])
+
+
+@pytest.mark.parametrize("mark", ["", "# ", " * ", "// "])
+def test_wrapped_notices_are_one_span_of_one_family(licences, mark):
+    for family, lines in WRAPPED.items():
+        notice = "\n".join(mark + line for line in lines)
+        for text in (notice, f"The river and the stone.\n{mark.rstrip()}\n{notice}\n\nStone by the river.",
+                     f"Along the river walked an old stone mason\n{notice}\nand nobody spoke about it afterwards"):
+            assert [(f[3], text[f[1]:f[2]]) for f in licences.find(text)] == [(family, notice)], (family, mark)
+
+
+def test_notices_on_neighbouring_lines_stay_apart(licences):
+    short = {f: n[0] for f, n in lic.NOTICES.items()}
+    for end in ("", "."):
+        for a, b in (("MIT", "CC-BY"), ("BSD", "BSD"), ("GPL-3.0", "GPL-2.0"), ("CC0", "ISC")):
+            lines = [short[a].rstrip(".") + end, short[b].rstrip(".") + end]
+            text = "\n".join(lines)
+            assert [(f[0], f[3], text[f[1]:f[2]]) for f in licences.find(text)] == [(0, a, lines[0]), (1, b, lines[1])]
+    twice = "\n".join(WRAPPED["GPL-2.0"] + WRAPPED["LGPL"])
+    assert [(f[0], f[3]) for f in licences.find(twice)] == [(0, "GPL-2.0"), (4, "LGPL")]
+
+
+def test_licence_rows_of_a_table(spark, licences):
+    notice = "\n".join("# " + line for line in WRAPPED["LGPL"])
+    rows = [(1, notice), (2, None), (None, "Released under the MIT License."), (3, ""), (4, "river stone"), (1, notice),
+            (5, "stone work " * 20_000 + "\n" + notice)]
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, family string")
+    got = sorted(((r.doc_id or 0, r.paragraph, r.start, r.end, r.family) for r in lic.scan_documents(docs, licences).collect()))
+    n = 11 * 20_000 + 1
+    assert got == [(0, 0, 0, 31, "MIT"), (1, 0, 0, len(notice), "LGPL"), (1, 0, 0, len(notice), "LGPL"), (5, 1, n, n + len(notice), "LGPL")]
+    assert lic.scan_documents(docs.limit(0), licences).count() == 0
