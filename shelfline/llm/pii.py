@@ -1,14 +1,15 @@
 """Personal data by fixed patterns and a skip-chain conditional random field.
 
-The patterns give the base spans.  A document with at least one is then read as
+The patterns give the base spans.  Every document is then read as
 the tokens that could be personal data (those with digits or an at sign), each
 with its surroundings, in a chain; tokens whose digits or letters repeat or
 resemble an earlier token's are joined by a skip edge.  Labels are the kinds
 and none.  Sum-product message passing (loopy, damped, to convergence) over
 chain and skip edges lets an unmistakable mention carry its label to the other
 mentions in the document: a phone number repeated without its plus, an address
-with blanks around the sign, a card number with other separators.  Tokens whose
-belief in a kind is high add spans to the base ones.
+with blanks around the sign, a card number with other separators; two mentions that no
+pattern takes may carry each other.  Tokens of a repeat whose
+belief in a kind is high, and whose digits or address could be of that kind, add spans to the base ones.
 
 The unary weights are trained (softmax regression) on a bounded sample, with the
 base patterns as distant labels; chain and skip potentials come from the counts of
@@ -39,13 +40,15 @@ CARD_DIGITS, PHONE_DIGITS = (14, 19), (10, 15)
 #: Where a digit pattern can match: every match but a phone's plus lies in such a run.
 DIGIT_RUN = re.compile(r"[0-9][0-9 ().-]*")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
-#: Tokens of the field.
-TOKEN = re.compile(r"\+?[0-9(][0-9().,:/-]*(?:[ -][0-9(][0-9().-]*)*|(?<![^\s@])[^\s@]{1,64}\s?(?:@|\(at\)|\[at\])\s?[^\s@]+")
+#: Tokens of the field: numbers with their separators; addresses, also with blanks or words for the sign.
+NUMBER = re.compile(r"\+?[0-9(][0-9().,:/-]*(?:[ -][0-9(][0-9().-]*)*")
+ADDRESS = re.compile(r"(?<![^\s@])[^\s@]+\s?(?:@|\(at\)|\[at\])\s?[^\s@]+")
+AT = re.compile(r"\s?(?:@|\(at\)|\[at\])\s?")
 
 #: Documents of the training sample; belief that adds a span; rounds and damping of messages.
 TRAIN_ROWS = 2000
 BELIEF, ROUNDS, DAMPING, SETTLED = 0.75, 50, 0.3, 1e-4
-#: Digits (or letters) that two tokens must share to be joined; shared endings count as similar.
+#: Digits that two numbers must share at their ends to be joined.
 SHARED = 7
 
 
@@ -106,53 +109,104 @@ class Token:
     label: int  # 0 none, else 1 + kind of the base span that covers it
 
 
-FEATURES = ("bias", "base_email", "base_ip", "base_card", "base_phone", "plus", "at", "dots", "luhn",
-            "digits_small", "digits_phone", "digits_card", "digits_more", "letters")
+FEATURES = ("bias", "plus", "address", "at", "octets", "luhn",
+            "digits_small", "digits_short", "digits_phone", "digits_card", "digits_more", "grouped", "letters")
+
+
+def _numbers(text: str):
+    """(start, end) of the number tokens.  A run of groups longer than any kind is cut where a card
+    number is complete, else before the group that passes its length: no token holds two numbers."""
+    for m in NUMBER.finditer(text):
+        start, end = m.span()
+        if sum(c.isdigit() for c in m.group()) <= CARD_DIGITS[1]:
+            yield start, end
+            continue
+        digits, last = "", start
+        for group in re.finditer(r"[^ ]+", m.group()):
+            more = "".join(c for c in group.group() if c.isdigit())
+            full = CARD_DIGITS[0] <= len(digits) and luhn(digits)
+            if digits and (full or len(digits) + len(more) > CARD_DIGITS[1]):
+                yield start, last
+                start, digits = m.start() + group.start(), ""
+            digits += more
+            last = m.start() + group.end()
+        yield start, last
 
 
 def tokens_of(text: str, base: list[tuple[int, int, str]]) -> list[Token]:
     """Candidate tokens in order; a base span is a token, other candidates lie outside them."""
-    spans = [(s, e, 1 + KINDS.index(k)) for s, e, k in base]
     out, last = [], 0
-    for s, e, label in spans:
+    for s, e, k in base:
         if s >= last:
-            out.append(Token(s, e, text[s:e], label))
+            out.append(Token(s, e, text[s:e], 1 + KINDS.index(k)))
             last = e
-    taken = [(t.start, t.end) for t in out]
-    at = 0
-    for m in TOKEN.finditer(text):
-        s, e = m.span()
+    found = list(_numbers(text))
+    if "@" in text or "(at)" in text or "[at]" in text:
+        found += [m.span() for m in ADDRESS.finditer(text)]
+    taken, at, last = [(t.start, t.end) for t in out], 0, 0
+    # an address goes before the numbers inside it
+    for s, e in sorted(found, key=lambda f: (f[0], -f[1])):
         while e > s and text[e - 1] in " .,:;-/(":
             e -= 1
-        if e <= s:
+        if e <= s or s < last:
             continue
         while at < len(taken) and taken[at][1] <= s:
             at += 1
         if at < len(taken) and taken[at][0] < e:
             continue
         out.append(Token(s, e, text[s:e], 0))
+        last = e
     return sorted(out, key=lambda t: t.start)
 
 
+def address_of(token: str) -> str:
+    """The token with a plain at sign."""
+    return AT.sub("@", token, count=1)
+
+
+def digits_of(token: str) -> str:
+    return "".join(c for c in token if "0" <= c <= "9")
+
+
+def octets(token: str) -> bool:
+    parts = re.split(r"[^0-9]+", token.strip("()[]"))
+    return len(parts) == 4 and all(p and len(p) <= 3 and int(p) <= 255 for p in parts)
+
+
 def key_of(token: str) -> str:
     """What repeats of a mention share: the letters and digits of an address, else the digits."""
-    lowered = token.lower().replace("(at)", "@").replace("[at]", "@")
-    if "@" in lowered:
-        return "".join(c for c in lowered if c.isalnum() or c == "@")
-    return "".join(c for c in lowered if c.isdigit())
+    address = address_of(token).lower()
+    if "@" in address:
+        return "".join(c for c in address if c.isalnum() or c == "@")
+    return digits_of(token)
+
+
+def possible(kind: str, token: str) -> bool:
+    """Could the token be of the kind, separators aside?"""
+    digits, address = digits_of(token), address_of(token)
+    if kind == "email":
+        return EMAIL.fullmatch(address) is not None
+    if "@" in address:
+        return False
+    if kind == "ip":
+        return octets(token)
+    if kind == "card":
+        return CARD_DIGITS[0] <= len(digits) <= CARD_DIGITS[1] and luhn(digits)
+    # a phone number has few groups, and no single digits after its first: lists of numbers do
+    groups = re.findall(r"[0-9]+", token)
+    return PHONE_DIGITS[0] <= len(digits) <= PHONE_DIGITS[1] and len(groups) <= 5 and all(len(g) > 1 for g in groups[1:])
 
 
 def features(token: Token, hide: bool = False) -> np.ndarray:
-    """Unary features; ``hide`` drops those that repeat the base pattern's verdict."""
-    digits = "".join(c for c in token.text if c.isdigit())
-    x = np.zeros(len(FEATURES))
-    x[0] = 1
-    if token.label and not hide:
-        x[token.label] = 1
-    x[5:] = (token.text.startswith("+"), "@" in token.text, token.text.count(".") >= 3,
-             CARD_DIGITS[0] <= len(digits) <= CARD_DIGITS[1] and luhn(digits),
-             len(digits) < SHARED, SHARED <= len(digits) < CARD_DIGITS[0], CARD_DIGITS[0] <= len(digits) <= CARD_DIGITS[1],
-             len(digits) > CARD_DIGITS[1], any(c.isalpha() for c in token.text))
+    """Unary features, of the token's shape alone; ``hide`` drops the plus that the phone pattern needs."""
+    digits = digits_of(token.text)
+    n = len(digits)
+    x = np.ones(len(FEATURES))
+    x[1:] = (token.text.startswith("+") and not hide, possible("email", token.text), "@" in address_of(token.text),
+             octets(token.text), CARD_DIGITS[0] <= n <= CARD_DIGITS[1] and luhn(digits),
+             n < SHARED, SHARED <= n < PHONE_DIGITS[0], PHONE_DIGITS[0] <= n <= PHONE_DIGITS[1],
+             CARD_DIGITS[0] <= n <= CARD_DIGITS[1], n > CARD_DIGITS[1],
+             any(c in " -().," for c in token.text.strip("()")), any(c.isalpha() for c in token.text))
     return x
 
 
@@ -162,7 +216,7 @@ def skip_edges(tokens: list[Token]) -> list[tuple[int, int]]:
     edges, exact, ending = [], {}, {}
     for i, t in enumerate(tokens):
         key = key_of(t.text)
-        if len(key) < SHARED:
+        if "@" not in key and len(key) < SHARED:
             continue
         tail = key[-SHARED:] if "@" not in key else key
         before = exact.get(key, ending.get(tail))
@@ -177,10 +231,19 @@ class SkipChainField:
     def __init__(self, unary: np.ndarray, chain: np.ndarray, skip: np.ndarray):
         self.unary, self.chain, self.skip = unary, chain, skip
 
+    def unaries(self, tokens: list[Token]) -> np.ndarray:
+        """Unary potentials; the label of a base span is observed, so it is fixed."""
+        scores = np.clip(np.array([features(t) for t in tokens]) @ self.unary, -30, 30)
+        for i, t in enumerate(tokens):
+            if t.label:
+                scores[i] = -30
+                scores[i, t.label] = 0
+        return np.exp(scores)
+
     def beliefs(self, tokens: list[Token]) -> np.ndarray:
         """Marginals by damped sum-product messages over chain and skip edges."""
         n = len(tokens)
-        phi = np.exp(np.clip(np.array([features(t) for t in tokens]) @ self.unary, -30, 30))
+        phi = self.unaries(tokens)
         edges = [(i, i + 1, self.chain) for i in range(n - 1)] + [(i, j, self.skip) for i, j in skip_edges(tokens)]
         if not edges:
             return phi / phi.sum(axis=1, keepdims=True)
@@ -208,34 +271,37 @@ class SkipChainField:
 
     def added(self, text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
         """Spans of tokens outside the base ones, linked to another token, whose belief in a
-        kind reaches BELIEF."""
-        if not base:
-            return []
+        kind that is possible for them reaches BELIEF."""
         tokens = tokens_of(text, base)
-        if len(tokens) == len(base):
+        if len(tokens) < 2:
             return []
         linked = {k for edge in skip_edges(tokens) for k in edge}
+        open_ = [i for i in sorted(linked) if not tokens[i].label and any(possible(k, tokens[i].text) for k in KINDS)]
+        if not open_:  # no token that could be added: messages would change nothing
+            return []
         belief = self.beliefs(tokens)
         out = []
-        for i, t in enumerate(tokens):
-            kind = int(belief[i, 1:].argmax())
-            if i in linked and t.label == 0 and belief[i, 1 + kind] >= BELIEF:
+        for i in open_:
+            t, kind = tokens[i], int(belief[i, 1:].argmax())
+            if belief[i, 1 + kind] >= BELIEF and possible(KINDS[kind], t.text):
                 out.append((t.start, t.end, KINDS[kind]))
         return out
 
 
 def train(texts: list[str]) -> SkipChainField:
-    """Piecewise training with the base spans as labels.  Half of the labelled tokens hide the
-    pattern's verdict, so that shape alone also carries weight."""
+    """Piecewise training with the base spans as labels.  A labelled token counts half as it stands
+    and half without its plus, so that the rest of its shape also carries weight."""
     labels = len(KINDS) + 1
-    rows, ys = [], []
+    rows, ys, counts = [], [], []
     chain, skip = np.full((labels, labels), 0.5), np.full((labels, labels), 0.02)
     skip += np.eye(labels)
     for text in texts:
         tokens = tokens_of(text, base_spans(text))
-        for i, t in enumerate(tokens):
-            rows.append(features(t, hide=bool(i % 2)))
-            ys.append(t.label)
+        for t in tokens:
+            for hide in (False, True) if t.label else (False,):
+                rows.append(features(t, hide))
+                ys.append(t.label)
+                counts.append(0.5 if t.label else 1.0)
         for a, b in zip(tokens, tokens[1:]):
             chain[a.label, b.label] += 1
         for i, j in skip_edges(tokens):
@@ -245,11 +311,11 @@ def train(texts: list[str]) -> SkipChainField:
                 skip[tokens[j].label, tokens[i].label] += 1
     weights = np.zeros((len(FEATURES), labels))
     if rows:
-        x, y = np.array(rows), np.eye(labels)[ys]
+        x, y, share = np.array(rows), np.eye(labels)[ys], np.array(counts)[:, None] / sum(counts)
         for _ in range(300):
             p = np.exp(x @ weights - (x @ weights).max(axis=1, keepdims=True))
             p /= p.sum(axis=1, keepdims=True)
-            weights -= 1.0 * (x.T @ (p - y) / len(x) + 0.002 * weights)
+            weights -= 1.0 * (x.T @ (share * (p - y)) + 0.002 * weights)
     share = chain / chain.sum()
     chain = share / np.outer(share.sum(axis=1), share.sum(axis=0))  # lift over independence
     skip = skip / skip.sum(axis=1, keepdims=True)
@@ -258,8 +324,12 @@ def train(texts: list[str]) -> SkipChainField:
 
 def fitted(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> SkipChainField:
     """Trains on the first ``train_rows`` documents, by hashed id, that hold a digit run or an at sign."""
-    rows = (docs.select("doc_id", "text").where(F.col("text").rlike(r"[0-9]{3}|@"))
-            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_rows).collect())
+    first = [F.xxhash64("doc_id"), F.col("doc_id")]
+    texts = docs.select("doc_id", "text").where(F.col("text").rlike(r"[0-9]{3}|@"))
+    # ids are chosen before texts are read, so that no task sends texts that are not among the first
+    ids = texts.select("doc_id").orderBy(*first).limit(train_rows).select(F.col("doc_id").alias("__id")).distinct()
+    rows = (texts.join(F.broadcast(ids), F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
+            .orderBy(*first, F.md5("text")).limit(train_rows).collect())
     return train(sorted({r["text"] for r in rows}))
 
 

@@ -2,6 +2,7 @@
 
 import base64
 import gzip
+import itertools
 import re
 
 import numpy as np
@@ -49,6 +50,79 @@ def test_skip_chain_labels_repeats_and_leaves_others():
     assert field.added("no data, 12345678 twice 12345678", []) == []
 
 
+#: What a learned field sees: marked mentions of every kind, with numbers that are none between them.
+PII_SAMPLE = [f"call +1 ({k}22) 333-4{k}44 or write u{k}@mail.example.com from 10.0.{k}.7 card 4111 1111 1111 1111 on 2024-0{k}-11 "
+              f"ref 99{k}8887776665554 x {k}{k} at 170000000{k}" for k in range(1, 9)]
+
+
+@pytest.fixture(scope="module")
+def pii_field():
+    return pii.train(PII_SAMPLE)
+
+
+@pytest.mark.parametrize("text, found", [
+    ("card 4111.1111.1111.1111 and again 4111.1111.1111.1111 done", ["4111.1111.1111.1111"] * 2),
+    ("mail jo.x(at)mail.example.org, I said jo.x(at)mail.example.org", ["jo.x(at)mail.example.org"] * 2),
+    ("a@b.com or a (at) b.com", ["a (at) b.com"]),
+    ("long " + "x" * 90 + "@b.org and " + "x" * 90 + "[at]b.org", ["x" * 90 + "[at]b.org"]),
+    ("phone +1 202-555-0143, again 202-555-0143.", ["202-555-0143"]),
+    ("4111 1111 1111 1111 5500 0000 0000 0004 and 4111-1111-1111-1111", ["4111 1111 1111 1111"]),
+    ("on 2024-01-01 and 2024-01-01 and 2024-01-01", []), ("id 1234567 then 1234567", []),
+    ("Meet @ noon, meet @ noon", []), ("", [])])
+def test_field_adds_repeats_that_no_pattern_takes(pii_field, text, found):
+    base = pii.base_spans(text)
+    assert [text[s:e] for s, e, _ in pii_field.added(text, base)] == found
+
+
+def test_planted_repeats_are_caught(pii_field):
+    rng = np.random.default_rng(8)
+    words = ["river", "stone", "harbour", "letter", "of", "the", "2019", "12", "3.5"]
+    caught = wrong = total = 0
+    for k in range(200):
+        number = "".join(map(str, rng.integers(2, 10, 10)))
+        plain = f"{number[:3]}-{number[3:6]}-{number[6:]}"
+        mention, again = [(f"+1 {plain}", plain), (f"n{k}@site.example.org", f"n{k} (at) site.example.org")][k % 2]
+        text = " ".join([*rng.choice(words, 30), "with", mention, "and", *rng.choice(words, 30), "as", again, "or", *rng.choice(words, 20)])
+        added = [text[s:e] for s, e, _ in pii_field.added(text, pii.base_spans(text))]
+        total += 1
+        caught += again in added
+        wrong += len([a for a in added if a != again])
+    assert caught >= 0.95 * total and wrong <= 0.05 * caught      # a third of the other words are numbers
+
+
+def test_number_tokens_hold_one_number():
+    text = "4111 1111 1111 1111 5500 0000 0000 0004 340000000000009 4111111111111111"
+    assert [t.text for t in pii.tokens_of(text, [])] == ["4111 1111 1111 1111", "5500 0000 0000 0004", "340000000000009", "4111111111111111"]
+
+
+@pytest.mark.parametrize("text, tolerance", [
+    ("1234567 12 +44 20 7946 0958 x 3.5", 1e-6),                                      # a chain: exact
+    ("tel +1 202-555-0143 x 12 y 202-555-0143 z 77", 0.1),                             # one loop
+    ("tel +1 202-555-0143 x 202-555-0143 y 12 z 202-555-0143", 0.1)])
+def test_messages_against_marginals_by_enumeration(pii_field, text, tolerance):
+    tokens = pii.tokens_of(text, pii.base_spans(text))
+    unary = pii_field.unaries(tokens)
+    exact = np.zeros_like(unary)
+    for labels in itertools.product(range(unary.shape[1]), repeat=len(tokens)):
+        weight = np.prod([unary[i, k] for i, k in enumerate(labels)])
+        weight *= np.prod([pii_field.chain[a, b] for a, b in zip(labels, labels[1:])])
+        weight *= np.prod([pii_field.skip[labels[i], labels[j]] for i, j in pii.skip_edges(tokens)])
+        exact[np.arange(len(tokens)), labels] += weight
+    exact /= exact.sum(axis=1, keepdims=True)
+    got = pii_field.beliefs(tokens)
+    assert len(tokens) >= 3 and np.abs(got - exact).max() <= max(tolerance, 1e-3)
+    assert (got.argmax(axis=1) == exact.argmax(axis=1)).all()
+
+
+def test_added_spans_of_a_table(spark):
+    rows = [(1, "a@b.com or a (at) b.com"), (2, None), (3, ""), (None, "a@b.com or a (at) b.com"), (1, "none 12")]
+    rows += [(10 + k, t) for k, t in enumerate(PII_SAMPLE)]
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, spans string")
+    got = {(r.doc_id, r.spans, r.n_added) for r in pii.scan_documents(docs, pii.fitted(docs)).collect() if (r.doc_id or 0) < 10}
+    both = "email:0:7,email:11:23"
+    assert got == {(1, both, 1), (None, both, 1), (2, "", 0), (3, "", 0), (1, "", 0)}
+
+
 def plain_secrets(t):
     word = "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in "password")
     either = lambda w: "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in w)
