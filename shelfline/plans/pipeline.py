@@ -60,13 +60,25 @@ DIMENSIONS = ["product", "customer", "date", "category", "brand"]
 def land(lk: L.Lake, records: dict[str, DataFrame], ds: str) -> dict[str, str]:
     """Write each entity's records as JSON Lines under ``raw/<entity>/dt=<ds>``.
 
-    Customers keep only the allowed source fields, whichever way they come in.
+    Customers keep only the allowed source fields, whichever way they come in.  An entity without
+    records is refused, as an envelope with an empty list is; its rows are counted by the job that
+    writes them, and take the day's place only then, so the day keeps what it had.
     """
     if "customers" in records:
         people = records["customers"]
         allowed = [c for c in people.columns if c in config.CUSTOMER_SOURCE_FIELDS]
         records = {**records, "customers": people.select(*allowed)}
-    return {e: L.land_json(df, lk.raw(e), ds) for e, df in records.items()}
+    spark = next(iter(records.values())).sparkSession if records else None
+    out = {}
+    for entity, df in records.items():
+        observed, obs = L.counted(df)
+        staged = L.land_json(observed, lk.raw(f"_incoming/{entity}"), ds)
+        if not int(obs.get["n_rows"]):
+            L.delete(spark, staged)
+            raise ValueError(f"{entity}: source returned an empty list")
+        out[entity] = L.partition_dir(lk.raw(entity), ds)
+        L.move_into(spark, staged, out[entity])
+    return out
 
 
 # ── 02 bronze ────────────────────────────────────────────────────────────────

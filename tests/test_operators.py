@@ -140,6 +140,17 @@ def test_envelope_checks(spark):
             env.assert_envelopes(env.envelope_check(_docs(spark, [text]), "products"), "products")
 
 
+def test_landing_refuses_an_entity_without_records(spark, tmp_lake):
+    lk, df = L.Lake(tmp_lake), spark.createDataFrame([(1, "a"), (2, "b")], "id long, title string")
+    path = pipeline.land(lk, {"products": df}, "2026-01-01")["products"]
+    assert path == L.partition_dir(lk.raw("products"), "2026-01-01")
+    with pytest.raises(ValueError, match="products: source returned an empty list"):
+        pipeline.land(lk, {"products": df.limit(0)}, "2026-01-01")
+    assert spark.read.json(path).count() == 2           # the earlier landing stays
+    pipeline.land(lk, {"products": df.limit(1)}, "2026-01-01")
+    assert spark.read.json(path).count() == 1
+
+
 def test_explode_cart_lines_null_and_empty(spark):
     rows = [(1, 10, json.dumps([{"id": 5, "quantity": 2, "price": 1.5, "total": 3.0,
                                   "discountPercentage": 0, "discountedTotal": 3.0}])),
