@@ -4,7 +4,7 @@ import datetime as dt_
 
 from pyspark.sql import functions as F
 
-from shelfline.operators import conform, dedup
+from shelfline.operators import conform, dedup, upsert
 from shelfline.sources import driver_tables as dt
 
 
@@ -37,6 +37,19 @@ def test_keep_last_carries_its_order_once(spark):
     assert {r["v"] for r in mapped.collect()} == {r["v"] for r in out.collect()}
 
 
+def test_ranges_merge_with_one_shuffle_of_the_rows(spark):
+    cols = "k long, p long, v string, r long"
+    cur = spark.createDataFrame([(k, p, "old", k // 10) for k in range(40) for p in range(3)] + [(None, 1, "old", 0)], cols)
+    src = spark.createDataFrame([(k, p, "new", k // 10) for k in range(35, 45) for p in range(1, 5)], cols)
+    sizes = cur.groupBy("r").agg(F.count(F.lit(1)).alias("n_rows")).unionByName(
+        src.groupBy("r").agg(F.count(F.lit(1)).alias("n_rows")))
+    want = sorted(map(str, upsert.replace_by_key(cur, src, ["k", "p"]).collect()))
+    for piece in (1_000_000, 10):
+        merged = upsert._merge_ranges(cur, src, ["k", "p"], "r", sizes, piece)
+        assert _plan(merged).count("REPARTITION_BY_COL") == 1 and "LeftAnti" not in _plan(merged)
+        assert sorted(map(str, merged.collect())) == want
+
+
 def test_landed_days_hold_the_rows_of_each_day(spark, tmp_path):
     days = [dt_.datetime(1997, 12, 31, 23), dt_.datetime(1998, 1, 1), dt_.datetime(1998, 6, 30, 23, 59), dt_.datetime(1998, 7, 1), None]
     spark.createDataFrame([(i, i % 3, days[i % 5]) for i in range(50)] + [(3, 7, days[1])],
