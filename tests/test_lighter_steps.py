@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from shelfline.operators import conform, upsert
 from shelfline.sinks import lake as L
 from shelfline.sources import driver_tables as dt
+from shelfline.sources import envelope as env
 
 
 def _files(root) -> list[str]:
@@ -56,6 +57,16 @@ def test_carts_hold_plain_lines_and_derive_their_items_once(spark, tmp_path):
     assert got[3]["userId"] is None and got[3]["date"] is None and got[1]["date"] == "1998-01-01"
 
 
+def test_raw_records_are_compressed_in_bounded_files_and_keep_their_order(spark, tmp_path, monkeypatch):
+    monkeypatch.setitem(L.RAW_JSON, "maxRecordsPerFile", 300)
+    path = L.land_json(spark.range(0, 2000, 1, 3).select("id", F.lit("é \n").alias("t")), f"{tmp_path}/raw", "2026-01-01")
+    files = _files(path)
+    assert len(files) >= 7 and all(f.endswith(".json.snappy") for f in files)
+    back = env.read_raw_json(spark, path).orderBy("ord").select(F.get_json_object("record", "$.id").cast("long"),
+                                                                F.get_json_object("record", "$.t")).collect()
+    assert [tuple(r) for r in back] == [(i, "é \n") for i in range(2000)]
+
+
 def test_lake_tables_are_written_with_the_smaller_codec(spark, tmp_path):
     df = spark.range(20).select("id", F.lit("2026-01-01").cast("date").alias("load_date"))
     L.write_day(df, f"{tmp_path}/day", "2026-01-01")
