@@ -241,6 +241,60 @@ def test_traversal_of_dense_and_scattered_vectors_equals_the_product():
         assert (covertree.traverse(a, other).counts == wanted).all()
 
 
+def test_a_block_is_shuffled_once_for_each_bundle_near_it(spark, monkeypatch):
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(600, 32))
+    x[100:200] = x[0] + rng.normal(size=(100, 32)) * 0.1
+    monkeypatch.setattr(covertree, "LEAST_BLOCK", 16)
+    monkeypatch.setattr(covertree, "MOST_BLOCK", 16)
+    bundled, seen = covertree._bundle_pairs, {}
+
+    def spy(blocks, *rest):
+        out = bundled(blocks, *rest)
+        seen.update(blocks=blocks.count(), sent=out.count(), most=out.groupBy("dim", "i", "j").count().agg(F.max("count")).first()[0])
+        return out
+
+    monkeypatch.setattr(covertree, "_bundle_pairs", spy)
+    other = rng.normal(size=(20, 5))
+    rows = [(i, [float(v) for v in r]) for i, r in enumerate(x)] + [(1000 + i, [float(v) for v in r]) for i, r in enumerate(other)]
+    got = covertree.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert seen["blocks"] >= 38 and seen["sent"] < seen["blocks"] ** 2 / 1.5 and seen["most"] > 2
+    for ids, vectors in ((0, x), (1000, other)):
+        u = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+        linked = u @ u.T >= 0.95
+        np.fill_diagonal(linked, False)
+        comp = union_find(range(len(u)), list(zip(*np.nonzero(linked))))
+        for r in got:
+            if ids <= r.vec_id < ids + len(u):
+                k = r.vec_id - ids
+                assert (r.n_links, r.component_id) == (linked[k].sum(), comp[k] + ids)
+
+
+def test_leading_axes_drop_no_link(monkeypatch):
+    rng = np.random.default_rng(2)
+    spread = rng.choice([0.05, 0.1, 0.3, 2.0], (900, 1))
+    x = np.repeat(rng.normal(size=(9, 64)), 100, axis=0) + rng.normal(size=(900, 64)) * spread
+    empty = x.copy()
+    empty[:, :covertree.HEAD + 4] = 0  # axes that tell nothing
+    levels = []
+    tiles = covertree.Traversal.tiles
+    monkeypatch.setattr(covertree.Traversal, "tiles", lambda self, level, *rest: (levels.append(level), tiles(self, level, *rest))[1])
+    for vectors in (x, empty, rng.normal(size=(300, 64))):
+        u = covertree.unit(vectors)
+        axes = np.linalg.eigh(u.T @ u)[1][:, ::-1]
+        half = len(vectors) // 2
+        for basis in (None, axes):
+            a = covertree.Block(covertree.pack_block(np.arange(half), vectors[:half]), basis)
+            b = covertree.Block(covertree.pack_block(np.arange(half, 2 * half), vectors[half:2 * half]), basis)
+            for other in (a, b):
+                near = a.x @ other.x.T >= covertree.COSINE
+                if other is a:
+                    np.fill_diagonal(near, False)
+                wanted = near.sum(axis=1) if other is a else np.r_[near.sum(axis=1), near.sum(axis=0)]
+                assert (covertree.traverse(a, other).counts == wanted).all()
+    assert levels[-1] > 0  # scattered vectors begin where the nodes are small
+
+
 def test_scans_keep_every_row(spark, docs, empty):
     labels = spark.createDataFrame([(i, int(i % 3 > 0), int(i % 4 == 0)) for i in range(40)] + [(None, 1, 1), (3, None, None)],
                                    "doc_id long, quality int, toxic int")
